@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from viewtide.functions.missing import missing, quoted
 from viewtide.operators.distribution import exact_quantiles
-from viewtide.sources.tables import union_all
+from viewtide.operators.quality import usable
 
 
 def drop_empty_columns(df: DataFrame) -> DataFrame:
@@ -27,17 +26,10 @@ def drop_empty_columns(df: DataFrame) -> DataFrame:
     return df.select(*[quoted(c) for i, c in enumerate(df.columns) if counts[f"n{i}"]])
 
 
-def _usable(df: DataFrame, columns: Sequence[str]) -> Column:
-    absent = [c for c in columns if c not in df.columns]
-    if absent:
-        raise ValueError(f"critical columns absent or empty: {', '.join(absent)}")
-    return ~reduce(lambda a, b: a | b, [missing(df, c) for c in columns])
-
-
 def drop_missing(df: DataFrame, critical: Sequence[str] | None = None) -> DataFrame:
     """Drop rows missing any critical column, or any column if none are named."""
     columns = list(critical) if critical else df.columns
-    return df.filter(_usable(df, columns)) if columns else df
+    return df.filter(usable(df, columns)) if columns else df
 
 
 def dedupe_rows(df: DataFrame) -> DataFrame:
@@ -63,46 +55,15 @@ def clean(df: DataFrame, critical: Sequence[str] | None = None) -> DataFrame:
     """Drop empty columns, then rows with missing values, then copies.
 
     A critical column that is entirely empty is an error here, since the table
-    could not be joined afterwards.
-    """
-    return dedupe_rows(drop_missing(drop_empty_columns(df), critical))
-
-
-def cleaning_summary(df: DataFrame, critical: Sequence[str]) -> DataFrame:
-    """Rows and columns before and after :func:`clean`, from one scan.
-
-    Dropping empty columns cannot merge rows, so the cleaned row count is the
-    number of distinct rows whose critical columns are present.
+    could not be joined afterwards. Without critical columns, a row must be
+    complete in the columns that are left.
     """
-    copies = df.groupBy(*[quoted(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("__copies"))
-    kept = reduce(
-        lambda a, b: a + b,
-        [F.coalesce(F.max(quoted(c).isNotNull().cast("int")), F.lit(1)) for c in df.columns],
-    )
-    totals = copies.agg(
-        F.coalesce(F.sum("__copies"), F.lit(0)).alias("rows_before"),
-        F.count_if(_usable(df, critical)).alias("rows_after"),
-        kept.alias("columns_after"),
-    )
-    return totals.select(
-        "rows_before",
-        "rows_after",
-        (F.col("rows_before") - F.col("rows_after")).alias("rows_removed"),
-        F.lit(len(df.columns)).alias("columns_before"),
-        "columns_after",
-        (F.lit(len(df.columns)) - F.col("columns_after")).alias("columns_removed"),
-    )
+    return clean_rows(drop_empty_columns(df), critical)
 
 
-def cleaning_summaries(
-    tables: Mapping[str, DataFrame], critical: Mapping[str, Sequence[str]]
-) -> DataFrame:
-    return union_all(
-        cleaning_summary(df, critical.get(name) or df.columns).select(
-            F.lit(name).alias("table_name"), "*"
-        )
-        for name, df in tables.items()
-    )
+def clean_rows(df: DataFrame, critical: Sequence[str] | None = None) -> DataFrame:
+    """:func:`clean` for a table whose empty columns are already gone; lazy."""
+    return dedupe_rows(drop_missing(df, critical))
 
 
 def impute_constant(df: DataFrame, values: Mapping[str, object]) -> DataFrame:

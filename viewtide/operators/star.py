@@ -26,7 +26,9 @@ def star_join(
 
     No join is hinted. Spark broadcasts a side only when its measured size is
     below ``spark.sql.autoBroadcastJoinThreshold`` and otherwise sorts and
-    merges; adaptive execution splits a hot user's or item's partition.
+    merges. Adaptive execution splits the partition of a hot user or item,
+    provided what follows is grouped by something else; metrics grouped by user
+    should start from :func:`star_user_months`.
     """
     star = watch.join(users, "user_id").join(items, "movie_id")
     if reviews is None:
@@ -40,3 +42,20 @@ def valid_sessions(star: DataFrame) -> DataFrame:
     return dated.filter(
         F.col("watch_date_parsed").isNotNull() & ~missing(dated, "watch_duration_minutes")
     )
+
+
+def star_user_months(watch: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
+    """Per user and month: first date, watch time, sessions, and the user's attributes.
+
+    The same rows as grouping the star by user and month, in another order:
+    sessions are reduced before they meet the users. They are combined
+    map-side, so a user with a third of all sessions ships one row per task and
+    month, and the users join a table of user-months instead of sessions.
+    """
+    played = valid_sessions(watch).join(items.select("movie_id"), "movie_id")
+    months = played.groupBy("user_id", "watch_year", "watch_month").agg(
+        F.min("watch_date_parsed").alias("first_watch_date"),
+        F.sum("watch_duration_minutes").alias("total_watch_time_minutes"),
+        F.count(F.lit(1)).alias("total_sessions"),
+    )
+    return months.join(users.select("user_id", "country", "subscription_plan"), "user_id")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from viewtide.functions.rounding import stable_round
 from viewtide.operators import metrics
-from viewtide.operators.star import star_join, valid_sessions
+from viewtide.operators.star import star_join, star_user_months, valid_sessions
 from viewtide.plans import domain
 from viewtide.plans.catalog import query
 from viewtide.plans.oracle import rounded
@@ -24,6 +24,15 @@ def sessions(spark, sf_dir, rated: bool = False) -> DataFrame:
     )
 
 
+def user_months_of(spark, sf_dir) -> DataFrame:
+    """The user-month rollup, reduced before the user join."""
+    return star_user_months(
+        domain.dated_watch(spark, sf_dir),
+        domain.users(spark, sf_dir),
+        domain.movies(spark, sf_dir),
+    )
+
+
 def rounding(df: DataFrame, *columns: str, scale: int = 4) -> DataFrame:
     return df.withColumns({c: stable_round(df[c], scale) for c in columns})
 
@@ -77,7 +86,7 @@ def monthly_engagement(spark, sf_dir):
 )
 def monthly_active_users(spark, sf_dir):
     return rounding(
-        metrics.monthly_active_users(sessions(spark, sf_dir)), "total_watch_time_minutes"
+        metrics.active_users_from(user_months_of(spark, sf_dir)), "total_watch_time_minutes"
     )
 
 
@@ -88,7 +97,7 @@ def monthly_active_users(spark, sf_dir):
        FROM v_sessions GROUP BY watch_year, watch_month, subscription_plan, country""",
 )
 def mau_by_plan_country(spark, sf_dir):
-    return metrics.mau_by_plan_country(sessions(spark, sf_dir))
+    return metrics.mau_by_plan_country(user_months_of(spark, sf_dir))
 
 
 @query(
@@ -109,12 +118,23 @@ def user_months(spark, sf_dir):
        FROM v_sessions GROUP BY user_id""",
 )
 def user_cohorts(spark, sf_dir):
-    return metrics.user_cohorts(sessions(spark, sf_dir))
+    return metrics.user_cohorts(user_months_of(spark, sf_dir))
+
+
+@query(
+    "star_user_months",
+    f"""SELECT user_id, watch_year, watch_month, country, subscription_plan,
+               MIN(watch_date) AS first_watch_date, {_TIME}, COUNT(*) AS total_sessions
+        FROM v_sessions GROUP BY user_id, watch_year, watch_month, country, subscription_plan""",
+)
+def star_months(spark, sf_dir):
+    """The same rollup, reduced before the user join."""
+    return rounding(user_months_of(spark, sf_dir), "total_watch_time_minutes")
 
 
 @query("cohort_retention", "SELECT * FROM v_retention")
 def cohort_retention(spark, sf_dir):
-    return metrics.cohort_retention(sessions(spark, sf_dir))
+    return metrics.retention_from(user_months_of(spark, sf_dir))
 
 
 @query(
@@ -125,7 +145,7 @@ def cohort_retention(spark, sf_dir):
           ON r.cohort_year = s.cohort_year AND r.cohort_month = s.cohort_month""",
 )
 def retention_rate(spark, sf_dir):
-    result = metrics.retention_rate(metrics.cohort_retention(sessions(spark, sf_dir)))
+    result = metrics.retention_rate(metrics.retention_from(user_months_of(spark, sf_dir)))
     return rounding(result, "retention_rate", scale=6)
 
 
@@ -140,7 +160,7 @@ def retention_rate(spark, sf_dir):
         WHERE a.m < (SELECT MAX(m) FROM a) GROUP BY a.watch_year, a.watch_month""",
 )
 def monthly_churn(spark, sf_dir):
-    return rounding(metrics.monthly_churn(sessions(spark, sf_dir)), "churn_rate", scale=6)
+    return rounding(metrics.monthly_churn(user_months_of(spark, sf_dir)), "churn_rate", scale=6)
 
 
 @query(

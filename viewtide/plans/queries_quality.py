@@ -169,7 +169,7 @@ def _summary_sql(table: str) -> str:
 
 @query("cleaning_summary", " UNION ALL ".join(_summary_sql(t) for t in _TABLES))
 def cleaning_summary(spark, sf_dir):
-    return cleaning.cleaning_summaries(_tables(spark, sf_dir), _CRITICAL_OF)
+    return quality.cleaning_summaries(_tables(spark, sf_dir), _CRITICAL_OF)
 
 
 @query(

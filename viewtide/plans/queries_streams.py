@@ -26,9 +26,9 @@ from viewtide.streaming.queries import (
     StreamSettings,
     finish,
     query_status,
+    to_batches,
     to_files,
     to_memory,
-    to_snapshots,
 )
 
 
@@ -174,15 +174,15 @@ def _snapshot(spark, sf_dir) -> tuple[str, str]:
     """Run the daily trending stream into two replaced tables."""
     sink = TableSink(scratch_path(spark, "snapshot"))
 
-    def write_all(batch: DataFrame) -> None:
+    def write_all(batch: DataFrame, _: int) -> None:
         sink.overwrite(windowed.trending_from_users(batch), "trending")
 
-    def write_top(batch: DataFrame) -> None:
+    def write_top(batch: DataFrame, _: int) -> None:
         top = snapshots.top_trending(windowed.trending_from_users(batch))
         sink.overwrite(top, "top_trending", sort_by=["-view_count", "window_start"])
 
     stream = windowed.trending_by_user(enriched_stream(spark, sf_dir), "1 day")
-    finish(to_snapshots(stream, {"trending": write_all, "top": write_top}, once(spark)))
+    finish(to_batches(stream, {"trending": write_all, "top": write_top}, once(spark)))
     return sink.target("trending"), sink.target("top_trending")
 
 

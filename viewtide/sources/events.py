@@ -59,8 +59,13 @@ def read_event_topic(spark: SparkSession, servers: str, topic: str, **options) -
     return spark.readStream.format("kafka").options(**topic_options(servers, topic, **options)).load()
 
 
-def _decoded(envelope: DataFrame, schema: StructType, column: str) -> Column:
-    return F.from_json(F.col(column).cast("string"), schema)
+def _decoded(schema: StructType, column: str) -> Column:
+    """The fields of each message as columns.
+
+    Parsing sits in a generator, so filters on the fields stay above it. In a
+    plain projection they would be pushed down and parse again per field.
+    """
+    return F.inline(F.array(F.from_json(F.col(column).cast("string"), schema)))
 
 
 def decode_json(
@@ -71,8 +76,7 @@ def decode_json(
     A malformed message yields a row of NULLs, a bad field a NULL field, and
     NaN tokens become NULL.
     """
-    decoded = envelope.select(_decoded(envelope, schema, column).alias("data")).select("data.*")
-    return nan_to_null(decoded)
+    return nan_to_null(envelope.select(_decoded(schema, column)))
 
 
 def encode_json(df: DataFrame, column: str = "value") -> DataFrame:
@@ -93,9 +97,9 @@ def validate_events(
     ``malformed``, ``missing <field>``, ``bad <time field>`` or NULL. All rows
     stay; :func:`split_valid` parts them.
     """
-    raw = F.col(column).cast("string")
-    parsed = envelope.select(raw.alias("raw"), _decoded(envelope, schema, column).alias("data"))
-    events = nan_to_null(parsed.select("raw", "data.*"))
+    raw = F.col(column).cast("string").alias("raw")
+    parsed = envelope.select(raw).select("raw", _decoded(schema, "raw"))
+    events = nan_to_null(parsed)
     empty = reduce(lambda a, b: a & b, [missing(events, field) for field in schema.fieldNames()])
     reasons = [F.when(empty, "malformed")]
     reasons += [F.when(missing(events, field), f"missing {field}") for field in required]

@@ -68,7 +68,7 @@ def to_memory(
     """A named in-memory table, readable by SQL.
 
     The rows are held by the driver: only for monitoring small, bounded
-    results. :func:`to_snapshots` writes a table instead. A memory table in
+    results. :func:`to_batches` writes a table instead. A memory table in
     complete mode can restart from its checkpoint; in append mode it cannot.
     """
     writer = df.writeStream.queryName(name).format("memory").outputMode(mode)
@@ -94,14 +94,16 @@ def to_files(
     return _start(writer, df.sparkSession, settings)
 
 
-def snapshot_writer(
-    targets: Mapping[str, Callable[[DataFrame], None]],
-) -> Callable[[DataFrame, int], None]:
+Target = Callable[[DataFrame, int], None]
+
+
+def batch_writer(targets: Mapping[str, Target]) -> Target:
     """A ``foreachBatch`` function that hands each batch to every target.
 
     Empty batches are skipped. The batch is kept while the targets write it, so
     it is computed once however many there are. A batch that fails is run again
-    after a restart; overwriting targets then end up the same.
+    after a restart, so a target must give the same result when repeated:
+    replace a table, or write with :func:`add_batch`.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -109,26 +111,41 @@ def snapshot_writer(
         try:
             if not batch.isEmpty():
                 for target in targets.values():
-                    target(batch)
+                    target(batch, batch_id)
         finally:
             batch.unpersist()
 
     return write
 
 
-def to_snapshots(
+def add_batch(
+    path: str, transform: Callable[[DataFrame], DataFrame] | None = None, fmt: str = "parquet"
+) -> Target:
+    """A target that keeps every batch, each in its own folder.
+
+    A repeated batch replaces its folder, so no row is added twice.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = transform(batch) if transform else batch
+        rows.write.format(fmt).mode("overwrite").save(f"{path}/batch={batch_id}")
+
+    return write
+
+
+def to_batches(
     df: DataFrame,
-    targets: Mapping[str, Callable[[DataFrame], None]],
+    targets: Mapping[str, Target],
     settings: StreamSettings,
     mode: str = "complete",
 ) -> StreamingQuery:
-    """One query that replaces several result tables on each trigger.
+    """One query feeding several targets on each trigger.
 
-    Complete mode keeps all windows in state and drops no late event, so it
-    suits results that stay small. Sorting belongs in a target: there it orders
-    one batch instead of the stream's plan.
+    Complete mode hands over all windows every time: it keeps them in state and
+    drops no late event, so it suits results that stay small. Sorting belongs
+    in a target: there it orders one batch instead of the stream's plan.
     """
-    writer = df.writeStream.outputMode(mode).foreachBatch(snapshot_writer(targets))
+    writer = df.writeStream.outputMode(mode).foreachBatch(batch_writer(targets))
     return _start(writer, df.sparkSession, settings)
 
 
