@@ -1,0 +1,181 @@
+import math
+import random
+
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from viewtide.operators import cleaning, distribution, quality
+
+NAN = float("nan")
+DDL = "user_id STRING, n INT, x DOUBLE, empty STRING"
+ROWS = [
+    ("a", 1, 1.0, None),
+    ("a", 1, 1.0, None),
+    ("b", None, NAN, None),
+    ("b", None, NAN, None),
+    (None, 3, 0.0, None),
+    (None, 3, -0.0, None),
+    ("c", 4, None, None),
+]
+
+
+@pytest.fixture
+def table(spark):
+    return spark.createDataFrame(ROWS, DDL)
+
+
+@pytest.fixture
+def no_rows(spark):
+    return spark.createDataFrame([], DDL)
+
+
+def test_missing_report(table, rows):
+    assert rows(quality.missing_report(table)) == sorted(
+        [
+            ("user_id", 2, 200 / 7),
+            ("n", 2, 200 / 7),
+            ("x", 3, 300 / 7),
+            ("empty", 7, 100.0),
+        ],
+        key=repr,
+    )
+
+
+def test_quality_report_weighs_copies(table, rows):
+    report = rows(quality.quality_report(table))
+    missing = {r[1]: r[3] for r in report if r[0] == "missing"}
+    assert missing == {"user_id": 2, "n": 2, "x": 3, "empty": 7}
+    # NaN equals NaN, and 0.0 equals -0.0, when rows are compared.
+    assert [r[2:4] for r in report if r[0] == "duplicate"] == [(7, 3)]
+
+
+def test_reports_of_a_table_without_rows(no_rows, rows):
+    assert rows(quality.missing_report(no_rows)) == []
+    assert rows(quality.duplicate_report(no_rows)) == [(0, 0, 0.0)]
+    assert rows(quality.quality_report(no_rows)) == [("duplicate", "*", 0, 0, 0.0)]
+    assert rows(quality.null_total(no_rows)) == [(0, 0)]
+    assert rows(quality.cleaning_summary(no_rows, ["user_id"])) == [(0, 0, 0, 4, 4, 0)]
+    assert cleaning.clean(no_rows, ["user_id"]).columns == ["user_id", "n", "x", "empty"]
+
+
+def test_null_total(table, rows):
+    assert rows(quality.null_total(table)) == [(14, 3)]
+
+
+def test_clean_and_its_summary_agree(table, rows):
+    cleaned = cleaning.clean(table, ["user_id", "x"])
+    assert cleaned.columns == ["user_id", "n", "x"]
+    assert rows(cleaned) == [("a", 1, 1.0)]
+    assert rows(quality.cleaning_summary(table, ["user_id", "x"])) == [(7, 1, 6, 4, 3, 1)]
+    assert rows(cleaning.clean(cleaned, ["user_id", "x"])) == rows(cleaned)
+
+
+def test_clean_without_critical_columns(table, rows):
+    assert rows(cleaning.clean(table)) == [("a", 1, 1.0)]
+
+
+def test_empty_critical_column_is_an_error(table):
+    with pytest.raises(ValueError, match="empty"):
+        cleaning.clean(table, ["user_id", "empty"])
+
+
+def test_hot_copies_are_combined_before_the_shuffle(spark):
+    df = spark.range(0, 30000, 1, 8).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("v"))
+    assert quality.duplicate_report(df).first()["duplicate_rows"] == 9999
+    plan = quality.duplicate_report(df)._jdf.queryExecution().executedPlan().toString()
+    first_exchange = plan.rindex("Exchange hashpartitioning")
+    assert "partial_count" in plan[first_exchange:]
+
+
+def test_dedupe_by_key_takes_the_first_and_groups_null(spark, rows):
+    df = spark.createDataFrame(
+        [("e1", 3), ("e1", 1), ("e1", 2), (None, 9), (None, 8), ("e2", 5)], "email STRING, id INT"
+    )
+    assert rows(cleaning.dedupe_by_key(df, ["email"], ["id"])) == sorted(
+        [("e1", 1), ("e2", 5), (None, 8)], key=repr
+    )
+    plan = cleaning.dedupe_by_key(df, ["email"], ["id"])._jdf.queryExecution().toString()
+    assert plan.count("WindowGroupLimit") >= 2
+
+
+def test_impute_constant_fills_null_and_nan(table, rows):
+    filled = cleaning.impute_constant(table, {"user_id": "Unknown", "x": 7, "n": 0})
+    assert {r[0] for r in rows(filled)} == {"a", "b", "c", "Unknown"}
+    assert sorted(r[2] for r in rows(filled)) == [0.0, 0.0, 1.0, 1.0, 7.0, 7.0, 7.0]
+
+
+def test_impute_median(spark, rows):
+    df = spark.createDataFrame([(1, 10), (2, None), (3, 20), (4, 40), (5, 30)], "id INT, v INT")
+    assert rows(cleaning.impute_median(df, ["v"]))[1] == (2, 25.0)
+    blank = spark.createDataFrame([(1, None)], "id INT, v DOUBLE")
+    assert rows(cleaning.impute_median(blank, ["v"])) == [(1, None)]
+
+
+def test_iqr_limits_are_inclusive(spark, rows):
+    values = [1.0, 2.0, 3.0, 4.0, 7.0, 7.1, None, NAN]
+    df = spark.createDataFrame([(v,) for v in [1.0, 2.0, 3.0, 4.0, 7.0, None, NAN]], "x DOUBLE")
+    # Quartiles 2 and 4: the upper limit is exactly 7.
+    assert rows(cleaning.iqr_filter(df, "x")) == [(1.0,), (2.0,), (3.0,), (4.0,), (7.0,)]
+    assert len(values) == 8
+    assert cleaning.iqr_filter(df.filter("x IS NULL"), "x").count() == 0
+
+
+def _quantile_inputs():
+    rng = random.Random(7)
+    yield "one value", [5.0]
+    yield "two values", [1.0, 2.0]
+    yield "a hot value", [3.0] * 400 + [rng.random() * 10 for _ in range(600)]
+    yield "heavy tail", [10.0 ** rng.uniform(-12, 12) for _ in range(500)]
+    yield "negative", [rng.gauss(0, 1e-3) for _ in range(501)]
+    yield "close values", [1.0 + i * 2.0**-52 for i in range(64)]
+    yield "extremes", [-1.7e308, 1.7e308, 0.0, 1.0, -1.0, 5e-324, 2.0]
+    yield "whole numbers", [float(rng.randrange(50)) for _ in range(997)]
+
+
+@pytest.mark.parametrize("name, values", list(_quantile_inputs()))
+def test_exact_quantiles_equal_sorting(spark, name, values):
+    points = [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]
+    ordered = sorted(values)
+
+    def expected(p):
+        position = (len(ordered) - 1) * p
+        low, high = ordered[math.floor(position)], ordered[math.ceil(position)]
+        return low + (high - low) * (position - math.floor(position))
+
+    df = spark.createDataFrame([(v,) for v in [*values, None, NAN]], "x DOUBLE")
+    assert distribution.exact_quantiles(df, "x", points, bins=16) == [expected(p) for p in points]
+
+
+def test_exact_quantiles_with_infinities(spark):
+    values = [float("-inf"), 1.0, 2.0, 3.0, float("inf"), float("inf"), 1.7976931348623157e308]
+    df = spark.createDataFrame([(v,) for v in values], "x DOUBLE")
+    found = distribution.exact_quantiles(df, "x", [0.5, 1 / 6], bins=4)
+    assert found[0] == 3.0 and found[1] == 1.0
+
+
+def test_quantiles_agree_with_duckdb(spark):
+    rng = random.Random(3)
+    values = [round(rng.expovariate(0.02), 2) for _ in range(2001)]
+    df = spark.createDataFrame([(v,) for v in values], "x DOUBLE")
+    connection = duckdb.connect()
+    connection.execute("CREATE TABLE t (x DOUBLE)")
+    connection.executemany("INSERT INTO t VALUES (?)", [(v,) for v in values])
+    theirs = connection.execute("SELECT quantile_cont(x, [0.25, 0.5, 0.75]) FROM t").fetchall()
+    mine = distribution.exact_quantiles(df, "x", [0.25, 0.5, 0.75])
+    assert mine == pytest.approx(theirs[0][0], rel=1e-12)
+
+
+@pytest.mark.parametrize("values", [[1.0, 2.0, 2.0, 10.0, 7.5], [4.0, 4.0], [float(i) for i in range(100)]])
+def test_histogram_equals_numpy(spark, values):
+    counts, edges = np.histogram(values, bins=30)
+    df = spark.createDataFrame([(v,) for v in [*values, None, NAN]], "x DOUBLE")
+    found = distribution.histogram(df, "x", 30).orderBy("bin").collect()
+    assert [r["row_count"] for r in found] == counts.tolist()
+    assert [r["bin_start"] for r in found] == pytest.approx(edges[:-1].tolist())
+    assert [r["bin_end"] for r in found] == pytest.approx(edges[1:].tolist())
+
+
+def test_value_counts(table, rows):
+    assert rows(distribution.value_counts(table, "user_id")) == [("a", 2), ("b", 2), ("c", 1)]

@@ -63,7 +63,7 @@ def run_batch(
     file read instead of the whole lineage. The user metrics share one rollup.
 
     ``cleaned_sink`` and ``result_sink`` must be file sinks that Spark can read
-    back; copy from there to a warehouse with :func:`TableSink.overwrite`.
+    back; :func:`export` copies from there to a warehouse.
     """
     reports, summaries, cleaned = [], [], {}
     for name, df in tables.items():
@@ -106,3 +106,13 @@ def run_batch(
     for name, df in aggregates.items():
         results[name] = result_sink.overwrite(df, name, sort_by=metrics.PRESENTATION_ORDER[name])
     return BatchRun(union_all(reports), union_all(summaries), cleaned, results)
+
+
+def export(spark: SparkSession, run: BatchRun, files: TableSink, warehouse: TableSink) -> None:
+    """Copy all tables of a run from file sinks of ``files.format`` to a warehouse."""
+    for name, path in run.cleaned.items():
+        warehouse.overwrite(
+            spark.read.format(files.format).load(path), CLEANED_NAMES.get(name, name.capitalize())
+        )
+    for name, path in run.results.items():
+        warehouse.overwrite(spark.read.format(files.format).load(path), name)

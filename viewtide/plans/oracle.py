@@ -72,8 +72,11 @@ VIEWS = {
     "v_enriched": """
         SELECT e.*, u.country, u.monthly_spend, m.title, m.genre_primary, m.content_type,
                m.imdb_rating, m.is_original
-        FROM v_events e LEFT JOIN v_users u ON e.user_id = u.user_id
-                        LEFT JOIN v_movies m ON e.movie_id = m.movie_id""",
+        FROM v_events e
+        LEFT JOIN (SELECT * REPLACE (COALESCE(monthly_spend, 0) AS monthly_spend)
+                   FROM v_users) u ON e.user_id = u.user_id
+        LEFT JOIN (SELECT * REPLACE (COALESCE(imdb_rating, 0) AS imdb_rating)
+                   FROM v_movies) m ON e.movie_id = m.movie_id""",
     "v_flags": """
         SELECT * REPLACE (COALESCE(progress_percentage, 0) AS progress_percentage,
                           COALESCE(watch_duration_minutes, 0) AS watch_duration_minutes),

@@ -12,19 +12,24 @@ from viewtide.plans import domain
 from viewtide.plans.catalog import query
 from viewtide.plans.oracle import buckets, health, rounded, trending
 from viewtide.plans.queries_batch import rounding
+from viewtide.schemas import fields
 from viewtide.sources.events import decode_json, encode_json, split_valid, validate_events
 from viewtide.streaming.enrich import enrich, prepare_dimension
 
 COARSE_KEYS = ("genre_primary", "device_type")
-MESSAGE_SCHEMA = (
-    "event_id BIGINT, user_id BIGINT, movie_id BIGINT, timestamp STRING, action STRING, "
-    "progress_percentage DOUBLE, watch_duration_minutes DOUBLE, quality STRING, device_type STRING"
+MESSAGE_SCHEMA = fields(
+    event_id="long", user_id="long", movie_id="long", timestamp="string", action="string",
+    progress_percentage="double", watch_duration_minutes="double", quality="string",
+    device_type="string",
 )
 
 
 def user_dimension(spark, sf_dir) -> DataFrame:
     return prepare_dimension(
-        domain.users(spark, sf_dir), "user_id", ["country", "subscription_plan", "monthly_spend"]
+        domain.users(spark, sf_dir),
+        "user_id",
+        ["country", "subscription_plan", "monthly_spend"],
+        defaults={"monthly_spend": 0.0},
     )
 
 
@@ -33,6 +38,7 @@ def item_dimension(spark, sf_dir) -> DataFrame:
         domain.movies(spark, sf_dir),
         "movie_id",
         ["title", "genre_primary", "content_type", "imdb_rating", "is_original"],
+        defaults={"imdb_rating": 0.0, "is_original": False},
     )
 
 
@@ -102,10 +108,8 @@ def encode_json_events(spark, sf_dir):
 
 @query("decode_json_events", "SELECT * FROM v_messages")
 def decode_json_events(spark, sf_dir):
-    from pyspark.sql.types import StructType
-
     envelope = encode_json(messages(spark, sf_dir)).select(F.col("value").cast("binary"))
-    return decode_json(envelope, StructType.fromDDL(MESSAGE_SCHEMA))
+    return decode_json(envelope, MESSAGE_SCHEMA)
 
 
 @query(
@@ -116,14 +120,12 @@ def decode_json_events(spark, sf_dir):
        FROM v_encoded WHERE event_id % 50 IN (1, 2, 3)""",
 )
 def quarantine_events(spark, sf_dir):
-    from pyspark.sql.types import StructType
-
     encoded = encode_json_events(spark, sf_dir)
     cut = F.when(F.col("event_id") % 50 == 3, F.left("value", F.lit(40))).otherwise(F.col("value"))
     validated = validate_events(
         encoded.select(cut.alias("value")),
         required=["event_id", "user_id", "movie_id"],
-        schema=StructType.fromDDL(MESSAGE_SCHEMA),
+        schema=MESSAGE_SCHEMA,
     )
     _, rejected = split_valid(validated)
     return rejected

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,7 +36,7 @@ USER_DEFAULTS = {"monthly_spend": 0.0, "age": 0, "gender": "Unknown"}
 
 
 def _dimension(
-    table: DataFrame, key: str, columns: Sequence[str], defaults: dict | None = None
+    table: DataFrame, key: str, columns: Sequence[str], defaults: Mapping | None = None
 ) -> DataFrame:
     present = [c for c in columns if c in table.columns]
     known = {k: v for k, v in (defaults or {}).items() if k in present}

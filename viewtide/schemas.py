@@ -4,36 +4,50 @@ from __future__ import annotations
 
 from pyspark.sql.types import StructType
 
-USERS = StructType.fromDDL(
-    "user_id STRING, email STRING, first_name STRING, last_name STRING, age DOUBLE, gender STRING, "
-    "country STRING, state_province STRING, city STRING, subscription_plan STRING, "
-    "subscription_start_date DATE, is_active BOOLEAN, monthly_spend DOUBLE, primary_device STRING, "
-    "household_size INT, created_at TIMESTAMP"
+
+def fields(**types: str) -> StructType:
+    """Nullable fields by name and type; unlike a DDL text, it needs no session."""
+    schema = StructType()
+    for name, kind in types.items():
+        schema.add(name, kind)
+    return schema
+
+
+USERS = fields(
+    user_id="string", email="string", first_name="string", last_name="string", age="double",
+    gender="string", country="string", state_province="string", city="string",
+    subscription_plan="string", subscription_start_date="date", is_active="boolean",
+    monthly_spend="double", primary_device="string", household_size="integer",
+    created_at="timestamp",
 )
 
-WATCH_HISTORY = StructType.fromDDL(
-    "session_id STRING, user_id STRING, movie_id STRING, watch_date TIMESTAMP, device_type STRING, "
-    "watch_duration_minutes DOUBLE, progress_percentage DOUBLE, action STRING, quality STRING, "
-    "location_country STRING, is_download BOOLEAN, user_rating DOUBLE"
+WATCH_HISTORY = fields(
+    session_id="string", user_id="string", movie_id="string", watch_date="timestamp",
+    device_type="string", watch_duration_minutes="double", progress_percentage="double",
+    action="string", quality="string", location_country="string", is_download="boolean",
+    user_rating="double",
 )
 
 #: One message of the event stream; dates arrive as text.
-WATCH_EVENT = StructType.fromDDL(
-    "session_id STRING, user_id STRING, movie_id STRING, watch_date STRING, device_type STRING, "
-    "watch_duration_minutes DOUBLE, progress_percentage DOUBLE, action STRING, quality STRING, "
-    "location_country STRING, is_download BOOLEAN, user_rating DOUBLE, timestamp STRING"
+WATCH_EVENT = fields(
+    session_id="string", user_id="string", movie_id="string", watch_date="string",
+    device_type="string", watch_duration_minutes="double", progress_percentage="double",
+    action="string", quality="string", location_country="string", is_download="boolean",
+    user_rating="double", timestamp="string",
 )
 
 
 def movies_schema(original_flag: str = "is_original") -> StructType:
     """The catalogue schema; platforms name the "own production" flag differently."""
-    return StructType.fromDDL(
-        "movie_id STRING, title STRING, content_type STRING, genre_primary STRING, "
-        "genre_secondary STRING, release_year INT, duration_minutes DOUBLE, rating STRING, "
-        "language STRING, country_of_origin STRING, imdb_rating DOUBLE, production_budget DOUBLE, "
-        "box_office_revenue DOUBLE, number_of_seasons INT, number_of_episodes INT, "
-        f"{original_flag} BOOLEAN, added_to_platform DATE, content_warning BOOLEAN"
+    head = dict(
+        movie_id="string", title="string", content_type="string", genre_primary="string",
+        genre_secondary="string", release_year="integer", duration_minutes="double",
+        rating="string", language="string", country_of_origin="string", imdb_rating="double",
+        production_budget="double", box_office_revenue="double", number_of_seasons="integer",
+        number_of_episodes="integer",
     )
+    tail = dict(added_to_platform="date", content_warning="boolean")
+    return fields(**head, **{original_flag: "boolean"}, **tail)
 
 
 #: Columns that must be present for a row of each table to be usable.

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from viewtide.functions.missing import is_floating
-from viewtide.operators.cleaning import dedupe_by_key
+from viewtide.operators.cleaning import dedupe_by_key, impute_constant
 from viewtide.session import materialise
 
 WATERMARK_DELAY = "10 minutes"
@@ -19,30 +18,21 @@ def prepare_dimension(
     key: str,
     columns: Sequence[str],
     order_by: Sequence | None = None,
-    defaults: dict[str, object] | None = None,
+    defaults: Mapping[str, object] | None = None,
     store: bool = False,
 ) -> DataFrame:
-    """One row per key with the wanted columns, defaults filled in.
+    """One row per key with the wanted columns, missing values set to ``defaults``.
 
     Duplicate dimension rows would multiply the events that match them. The
-    kept row is the first by ``order_by``, or by the columns themselves.
-    ``store`` writes the result once, so that micro-batches do not repeat the
-    work and the join sees its true size.
+    kept row is the first by ``order_by``, or by the columns themselves with
+    NULLs last. ``store`` writes the result once, so that micro-batches do not
+    repeat the work and the join sees its true size.
     """
-    order = list(order_by or columns)
-    needed = list(dict.fromkeys([key, *columns, *[c for c in order if isinstance(c, str)]]))
-    source = dimension.select(*needed).filter(F.col(key).isNotNull())
-    if order:
-        single = dedupe_by_key(source, [key], order)
-    else:
-        single = source.distinct()
-    single = single.select(key, *columns)
-    for name, value in (defaults or {}).items():
-        filled = F.coalesce(F.col(name), F.lit(value).cast(single.schema[name].dataType))
-        if is_floating(single, name):
-            filled = F.coalesce(F.nanvl(F.col(name), F.lit(None)), F.lit(float(value)))
-        single = single.withColumn(name, filled)
-    return materialise(single, "dimension") if store else single
+    order = order_by or [F.asc_nulls_last(c) for c in columns]
+    keyed = dimension.filter(F.col(key).isNotNull())
+    single = dedupe_by_key(keyed, [key], order).select(key, *columns)
+    filled = impute_constant(single, defaults) if defaults else single
+    return materialise(filled, "dimension") if store else filled
 
 
 def enrich(
