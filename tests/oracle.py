@@ -40,7 +40,7 @@ def _kind(arrow_type) -> str:
 def difference(spark_df, connection, sql: str) -> str | None:
     """What differs in names, types or values, or None if all agree."""
     mine = spark_df.toArrow()
-    theirs = connection.execute(sql).to_arrow_table()
+    theirs = connection.sql(sql).to_arrow_table()
     kinds = [{f.name: _kind(f.type) for f in t.schema} for t in (mine, theirs)]
     if kinds[0] != kinds[1]:
         return f"schema: {kinds[0]} vs {kinds[1]}"
