@@ -1,0 +1,107 @@
+"""Results and plans with a user holding a third of all sessions, without broadcasts."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from viewtide.operators import metrics
+from viewtide.operators.star import star_join, star_user_months, valid_sessions
+from viewtide.session import materialise
+
+SETTINGS = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+    "spark.sql.shuffle.partitions": "16",
+}
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    rows = spark.range(0, 200000, 1, 8)
+    key = F.col("id")
+    watch = rows.select(
+        key.alias("session_id"),
+        F.when(key % 3 == 0, 7).otherwise(F.xxhash64(key) % 2000).alias("user_id"),
+        (F.xxhash64(key, F.lit(1)) % 300).alias("movie_id"),
+        F.timestamp_add("DAY", (key % 700).cast("int"), F.lit("2023-01-01").cast("timestamp")).alias("watch_date"),
+        (key % 90).cast("double").alias("watch_duration_minutes"),
+        (key % 100).cast("double").alias("progress_percentage"),
+    )
+    ids = spark.range(-2000, 2000).select(F.col("id").alias("user_id"))
+    users = ids.select("user_id", (F.abs("user_id") % 5).alias("country"), F.lit("p").alias("subscription_plan"))
+    movies = spark.range(-300, 300).select(
+        F.col("id").alias("movie_id"), (F.abs("id") % 4).alias("genre_primary"), F.lit("t").alias("title")
+    )
+    reviews = watch.filter("session_id % 5 = 0").select(
+        "user_id", "movie_id", (F.col("session_id") % 9).cast("double").alias("rating")
+    )
+    return [materialise(t, "skew") for t in (watch, users, movies, reviews)]
+
+
+@pytest.fixture
+def unbroadcast(spark):
+    before = {key: spark.conf.get(key, None) for key in SETTINGS}
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def final_plan(df):
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+QUERIES = {
+    "engagement": lambda w, u, m, r: metrics.monthly_engagement(valid_sessions(star_join(w, u, m))),
+    "genres": lambda w, u, m, r: metrics.genre_trend(valid_sessions(star_join(w, u, m, r))),
+    "ratings": lambda w, u, m, r: metrics.content_performance(valid_sessions(star_join(w, u, m, r))),
+}
+
+
+def rounded(found):
+    return [tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in found]
+
+
+@pytest.mark.parametrize("name", QUERIES)
+def test_hot_user_is_split_in_star_joins(spark, tables, unbroadcast, rows, name):
+    result = QUERIES[name](*tables)
+    found = rounded(rows(result))
+    plan = final_plan(result)
+    assert "skew=true" in plan and "BroadcastHashJoin" not in plan
+    for key in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+        spark.conf.set(key, "100MB")
+    again = QUERIES[name](*tables)
+    assert rounded(rows(again)) == found
+    assert "BroadcastHashJoin" in final_plan(again)
+
+
+def test_hot_user_ships_months_not_sessions(spark, tables, unbroadcast):
+    watch, users, movies, _ = tables
+    months = star_user_months(watch, users, movies)
+    hot = months.filter("user_id = 7")
+    # Over 66,000 sessions of the hot user become one row per month.
+    assert hot.count() == 23
+    expected = watch.join(movies.select("movie_id"), "movie_id").filter("user_id = 7").count()
+    assert hot.agg(F.sum("total_sessions")).first()[0] == expected > 66000
+    months.collect()
+    lines = final_plan(months).splitlines()
+    partial = [i for i, l in enumerate(lines) if "HashAggregate(keys=[user_id" in l]
+    user_join = next(i for i, l in enumerate(lines) if "SortMergeJoin" in l)
+    assert partial and user_join < min(partial)
+
+
+def test_large_dimension_is_not_broadcast_by_hint(spark, tables, unbroadcast):
+    from viewtide.streaming.enrich import enrich, prepare_dimension
+
+    watch, users, movies, _ = tables
+    events = watch.withColumnRenamed("watch_date", "event_time")
+    joined = enrich(
+        events,
+        prepare_dimension(users, "user_id", ["country"]),
+        prepare_dimension(movies, "movie_id", ["title"]),
+        watermark=None,
+    )
+    assert joined.count() == 200000
+    assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()

@@ -38,6 +38,7 @@ def load() -> dict[str, Query]:
     from viewtide.plans import (  # noqa: F401
         queries_batch,
         queries_events,
+        queries_features,
         queries_quality,
         queries_streams,
         queries_tables,

@@ -74,7 +74,7 @@ def sink_roundtrip(spark, sf_dir):
     # The second write replaces the first.
     sink.overwrite(sessions.filter("session_seq = 1"), "sessions")
     path = sink.overwrite(
-        sessions.repartition("watch_year"), "sessions", partition_by=["watch_year"]
+        sessions.hint("rebalance", "watch_year"), "sessions", partition_by=["watch_year"]
     )
     return spark.read.parquet(path)
 
