@@ -19,6 +19,7 @@ from viewtide.streaming.queries import (
     add_batch,
     batch_writer,
     finish,
+    finish_all,
     progress_table,
     query_status,
     to_batches,
@@ -222,8 +223,7 @@ def test_live_table_with_monitor(spark, folder, movies, settings):
     queries = streams.start_live_table(
         stream, sink, "t", own, sort_by=["-view_count"], monitor=name, monitor_settings=fresh
     )
-    for query in queries:
-        finish(query)
+    finish_all(spark, queries)
     live = spark.read.parquet(sink.target("t"))
     assert live.count() == spark.table(name).count() > 0
 
@@ -270,3 +270,17 @@ def test_failing_target_stops_the_query(spark, folder, settings):
     with pytest.raises(Exception, match="target is down"):
         finish(to_batches(events, {"t": fail}, settings, mode="append"))
     assert not spark.streams.active
+
+
+def test_one_failure_stops_all_queries(spark, folder, settings):
+    def fail(batch, batch_id):
+        raise RuntimeError("target is down")
+
+    events = read_event_files(spark, str(folder))
+    paced = StreamSettings(scratch_path(spark, "checkpoint"), "1 second", 2)
+    steady = to_files(events, scratch_path(spark, "out"), paced)
+    failing = to_batches(events, {"t": fail}, settings, mode="append")
+    with pytest.raises(Exception, match="target is down"):
+        finish_all(spark, [steady, failing])
+    assert not steady.isActive and not failing.isActive
+    spark.streams.resetTerminated()

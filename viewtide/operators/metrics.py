@@ -223,9 +223,13 @@ def genre_trend(sessions: DataFrame) -> DataFrame:
     )
 
 
-def top_genres_countries(rows: DataFrame, n: int = 10) -> DataFrame:
-    """The ``n`` most viewed genres and countries, from one shared rollup."""
-    rollup = rows.groupBy("genre_primary", "country").agg(_views().alias("views"))
+def genre_country_views(rows: DataFrame) -> DataFrame:
+    """Views per genre and country; runs on a stream in complete mode."""
+    return rows.groupBy("genre_primary", "country").agg(_views().alias("views"))
+
+
+def top_from_views(views: DataFrame, n: int = 10) -> DataFrame:
+    """The ``n`` most viewed genres and countries, both from one small rollup."""
     pairs = F.inline(
         F.array(
             *[
@@ -235,7 +239,7 @@ def top_genres_countries(rows: DataFrame, n: int = 10) -> DataFrame:
         )
     )
     totals = (
-        rollup.select(pairs)
+        views.select(pairs)
         .filter(F.col("value").isNotNull())
         .groupBy("dimension", "value")
         .agg(F.sum("views").alias("total_views"))
@@ -244,3 +248,8 @@ def top_genres_countries(rows: DataFrame, n: int = 10) -> DataFrame:
         Window.partitionBy("dimension").orderBy(F.desc("total_views"), "value")
     )
     return totals.withColumn("position", rank).filter(F.col("position") <= n)
+
+
+def top_genres_countries(rows: DataFrame, n: int = 10) -> DataFrame:
+    """The ``n`` most viewed genres and countries; ties go by name."""
+    return top_from_views(genre_country_views(rows), n)

@@ -161,9 +161,9 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_events(table(spark, sf_dir, "events"))
 
 
-def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+def event_stream(spark: SparkSession, sf_dir: str, max_files: int = 1000) -> DataFrame:
     """The same events as a stream; watermarks need a zoned timestamp."""
     schema = table(spark, sf_dir, "events").schema
     # A glob, because a plain stream path must be a folder.
-    rows = read_event_files(spark, f"{sf_dir}/events*.parquet", schema, fmt="parquet")
+    rows = read_event_files(spark, f"{sf_dir}/events*.parquet", schema, max_files, "parquet")
     return as_events(rows.withColumn("ts", F.col("ts").cast("timestamp")))

@@ -187,19 +187,3 @@ def skip_rate_trend(spark, sf_dir):
 def genre_trend(spark, sf_dir):
     result = metrics.genre_trend(sessions(spark, sf_dir))
     return rounding(result, "total_watch_time_minutes", "avg_watch_duration")
-
-
-@query(
-    "top_genres_countries",
-    """SELECT dimension, value, total_views, CAST(position AS INTEGER) AS position FROM (
-         SELECT *, ROW_NUMBER() OVER (PARTITION BY dimension ORDER BY total_views DESC, value) AS position
-         FROM (SELECT 'genre' AS dimension, genre_primary AS value, COUNT(*) AS total_views
-               FROM v_enriched WHERE genre_primary IS NOT NULL GROUP BY genre_primary
-               UNION ALL
-               SELECT 'country', country, COUNT(*) FROM v_enriched
-               WHERE country IS NOT NULL GROUP BY country) t) r WHERE position <= 10""",
-)
-def top_genres_countries(spark, sf_dir):
-    from viewtide.plans.queries_events import enriched
-
-    return metrics.top_genres_countries(enriched(spark, sf_dir))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from viewtide.functions.eventtime import EVENT_TIME_FORMAT, with_watch_month
 from viewtide.functions.signals import with_engagement_flags
-from viewtide.operators import replay, snapshots, windowed
+from viewtide.operators import metrics, replay, snapshots, windowed
 from viewtide.plans import domain
 from viewtide.plans.catalog import query
 from viewtide.plans.oracle import buckets, health, rounded, trending
@@ -24,21 +24,23 @@ MESSAGE_SCHEMA = fields(
 )
 
 
-def user_dimension(spark, sf_dir) -> DataFrame:
+def user_dimension(spark, sf_dir, store: bool = False) -> DataFrame:
     return prepare_dimension(
         domain.users(spark, sf_dir),
         "user_id",
         ["country", "subscription_plan", "monthly_spend"],
         defaults={"monthly_spend": 0.0},
+        store=store,
     )
 
 
-def item_dimension(spark, sf_dir) -> DataFrame:
+def item_dimension(spark, sf_dir, store: bool = False) -> DataFrame:
     return prepare_dimension(
         domain.movies(spark, sf_dir),
         "movie_id",
         ["title", "genre_primary", "content_type", "imdb_rating", "is_original"],
         defaults={"imdb_rating": 0.0, "is_original": False},
+        store=store,
     )
 
 
@@ -202,6 +204,21 @@ def avg_session_duration(spark, sf_dir):
     return rounding(result, "avg_session_duration")
 
 
+TOP_GENRES_COUNTRIES = """
+    SELECT dimension, value, total_views, CAST(position AS INTEGER) AS position FROM (
+      SELECT *, ROW_NUMBER() OVER (PARTITION BY dimension ORDER BY total_views DESC, value) AS position
+      FROM (SELECT 'genre' AS dimension, genre_primary AS value, COUNT(*) AS total_views
+            FROM v_enriched WHERE genre_primary IS NOT NULL GROUP BY genre_primary
+            UNION ALL
+            SELECT 'country', country, COUNT(*) FROM v_enriched
+            WHERE country IS NOT NULL GROUP BY country) t) r WHERE position <= 10"""
+
+
+@query("top_genres_countries", TOP_GENRES_COUNTRIES)
+def top_genres_countries(spark, sf_dir):
+    return metrics.top_genres_countries(enriched(spark, sf_dir))
+
+
 @query(
     "top_trending",
     f"""SELECT window_start, window_end, title, genre_primary, view_count, unique_viewers,

@@ -8,13 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from viewtide.functions.signals import with_engagement_flags
-from viewtide.operators import snapshots, windowed
+from viewtide.operators import metrics, snapshots, windowed
 from viewtide.plans import domain
 from viewtide.plans.catalog import query
 from viewtide.plans.oracle import buckets, closed, health, rounded, trending
 from viewtide.plans.queries_batch import rounding
 from viewtide.plans.queries_events import (
     COARSE_KEYS,
+    TOP_GENRES_COUNTRIES,
     item_dimension,
     shown_trending,
     user_dimension,
@@ -61,11 +62,12 @@ def watched(spark, sf_dir) -> DataFrame:
     return enrich(domain.event_stream(spark, sf_dir))
 
 
-def enriched_stream(spark, sf_dir) -> DataFrame:
+def enriched_stream(spark, sf_dir, with_users: bool = True) -> DataFrame:
+    """Stored dimensions: no micro-batch dedupes them again."""
     return enrich(
         domain.event_stream(spark, sf_dir),
-        user_dimension(spark, sf_dir),
-        item_dimension(spark, sf_dir),
+        user_dimension(spark, sf_dir, store=True) if with_users else None,
+        item_dimension(spark, sf_dir, store=True),
     )
 
 
@@ -90,7 +92,7 @@ def stream_static_join(spark, sf_dir):
 @query("stream_trending_content", trending("5 minutes", closed("5 minutes")))
 def stream_trending_content(spark, sf_dir):
     """Append mode: windows the watermark has closed, with exact viewers."""
-    partials = appended(spark, windowed.trending_by_user(enriched_stream(spark, sf_dir)))
+    partials = appended(spark, windowed.trending_by_user(enriched_stream(spark, sf_dir, with_users=False)))
     return shown_trending(windowed.trending_from_users(partials))
 
 
@@ -100,7 +102,7 @@ def stream_trending_content(spark, sf_dir):
 )
 def stream_trending_approx(spark, sf_dir):
     """One streaming aggregate; its viewer count is a sketch, so it is not compared."""
-    result = appended(spark, windowed.trending_approx(enriched_stream(spark, sf_dir), "1 hour"))
+    result = appended(spark, windowed.trending_approx(enriched_stream(spark, sf_dir, with_users=False), "1 hour"))
     return shown_trending(result).drop("unique_viewers")
 
 
@@ -181,7 +183,7 @@ def _snapshot(spark, sf_dir) -> tuple[str, str]:
         top = snapshots.top_trending(windowed.trending_from_users(batch))
         sink.overwrite(top, "top_trending", sort_by=["-view_count", "window_start"])
 
-    stream = windowed.trending_by_user(enriched_stream(spark, sf_dir), "1 day")
+    stream = windowed.trending_by_user(enriched_stream(spark, sf_dir, with_users=False), "1 day")
     finish(to_batches(stream, {"trending": write_all, "top": write_top}, once(spark)))
     return sink.target("trending"), sink.target("top_trending")
 
@@ -208,6 +210,19 @@ def stream_top_trending(spark, sf_dir):
     return plain_times(spark.read.parquet(top_path))
 
 
+@query("stream_top_genres_countries", TOP_GENRES_COUNTRIES)
+def stream_top_genres_countries(spark, sf_dir):
+    """Complete mode over one row per genre and country, ranked on each trigger."""
+    sink = TableSink(scratch_path(spark, "snapshot"))
+
+    def write(batch: DataFrame, _: int) -> None:
+        sink.overwrite(metrics.top_from_views(batch), "top", sort_by=["dimension", "position"])
+
+    views = metrics.genre_country_views(enriched_stream(spark, sf_dir))
+    finish(to_batches(views, {"top": write}, once(spark)))
+    return spark.read.parquet(sink.target("top"))
+
+
 @query(
     "stream_progress",
     "SELECT COUNT(*) AS input_rows, FALSE AS is_active FROM events",

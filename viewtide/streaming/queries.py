@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 
@@ -159,6 +159,18 @@ def finish(query: StreamingQuery, timeout: float | None = None) -> StreamingQuer
     return query
 
 
+def finish_all(spark: SparkSession, queries: Sequence[StreamingQuery]) -> None:
+    """Wait for several queries; when one fails or is interrupted, stop them all."""
+    try:
+        while any(query.isActive for query in queries):
+            spark.streams.awaitAnyTermination()
+            spark.streams.resetTerminated()
+    finally:
+        for query in queries:
+            if query.isActive:
+                query.stop()
+
+
 def query_status(spark: SparkSession, query: StreamingQuery) -> DataFrame:
     """Identity and state of a query, with its batches and rows so far.
 
