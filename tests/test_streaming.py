@@ -106,16 +106,19 @@ def test_dimension_is_unique_and_prefers_complete_rows(spark, movies, users, row
 
 
 def test_complete_stream_equals_batch(spark, folder, movies, settings, rows):
-    stream = streams.trending_stream(read_event_files(spark, str(folder)), movies, exact=True)
+    stream = streams.exact_trending_stream(read_event_files(spark, str(folder)))
+    items = streams.item_dimension(movies)
     sink = TableSink(scratch_path(spark, "live"))
 
     def write(batch, _):
-        sink.overwrite(windowed.trending_from_users(batch), "trending")
+        sink.overwrite(streams.exact_trending(batch, items), "trending")
 
     query = finish(to_batches(stream, {"trending": write}, settings))
     found = spark.read.parquet(sink.target("trending"))
-    items = prepare_dimension(movies, "movie_id", ["title", "genre_primary", "content_type"])
-    batch = windowed.trending_content(enrich(static_events(spark, folder), items=items, watermark=None))
+    # The same groups as joining first and grouping by the attributes too.
+    keys = ["movie_id", *windowed.ITEM_ATTRIBUTES]
+    joined = enrich(static_events(spark, folder), items=items, watermark=None)
+    batch = windowed.trending_content(joined, keys=keys)
     assert rows(found) == rows(batch, *found.columns)
     assert found.agg(F.sum("view_count")).first()[0] == 300
     status = query_status(spark, query).first()
@@ -216,8 +219,8 @@ def test_live_table_with_monitor(spark, folder, movies, settings):
     sink = TableSink(scratch_path(spark, "live"))
     name = "monitor_" + settings.checkpoint[-8:]
     with pytest.raises(ValueError, match="checkpoint"):
-        for query in streams.start_live_table(stream, sink, "t", settings, monitor=name):
-            query.stop()
+        streams.start_live_table(stream, sink, "t", settings, monitor=name)
+    assert not spark.streams.active
     own = StreamSettings(scratch_path(spark, "checkpoint"), None, 2)
     fresh = StreamSettings(scratch_path(spark, "checkpoint"), None, 2)
     queries = streams.start_live_table(

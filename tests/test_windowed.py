@@ -95,6 +95,15 @@ def test_trending_equals_brute_force(events):
         assert r["completed_views"] == sum(x["action"] == "completed" for x in g)
 
 
+def test_attributes_join_after_counting(events, spark, rows):
+    items = spark.createDataFrame([("hot", "Hot"), ("m1", "One")], "movie_id STRING, title STRING")
+    counted = windowed.trending_content(events, "1 hour").drop("avg_completion_pct")
+    titled = windowed.with_item_attributes(counted, items, ["title"])
+    assert titled.columns == [*counted.columns[:3], "title", *counted.columns[3:]]
+    assert rows(titled.drop("title")) == rows(counted)
+    assert {(r["movie_id"], r["title"]) for r in titled.collect()} >= {("hot", "Hot"), ("m2", None)}
+
+
 @pytest.mark.parametrize("keys", [windowed.HEALTH_KEYS, ("genre_primary", "device_type")])
 def test_health_equals_brute_force(events, keys):
     flagged = with_engagement_flags(events)
@@ -168,7 +177,9 @@ def test_snapshots_rank_and_summarise(spark, rows):
     events = spark.createDataFrame(
         [event(m, user=f"u{m}", movie=str(i)) for i in range(15) for m in range(i % 4 + 1)], SCHEMA
     )
-    trending = windowed.trending_content(events)
+    items = spark.createDataFrame([(str(i), f"t{i}", "g", "c") for i in range(15)],
+                                  "movie_id STRING, title STRING, genre_primary STRING, content_type STRING")
+    trending = windowed.with_item_attributes(windowed.trending_content(events), items)
     top = snapshots.top_trending(trending, 3)
     # Items 3, 7 and 11 lead with four views; their ids break the tie.
     assert [(r["title"], r["view_count"]) for r in top.collect()] == [("t11", 4), ("t3", 4), ("t7", 4)]

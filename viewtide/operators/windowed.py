@@ -19,7 +19,8 @@ from viewtide.functions.rounding import stable_round
 from viewtide.functions.signals import alert_level, percentage
 
 WINDOW_DURATION = "5 minutes"
-TRENDING_KEYS = ("movie_id", "title", "genre_primary", "content_type")
+TRENDING_KEYS = ("movie_id",)
+ITEM_ATTRIBUTES = ("title", "genre_primary", "content_type")
 HEALTH_KEYS = (
     "country",
     "genre_primary",
@@ -110,6 +111,22 @@ def trending_content(
     return trending_from_users(trending_by_user(events, duration, keys), keys)
 
 
+def with_item_attributes(
+    trending: DataFrame, items: DataFrame, attributes: Sequence[str] = ITEM_ATTRIBUTES
+) -> DataFrame:
+    """Attach item attributes to counted items; unknown items keep NULLs.
+
+    An item's attributes follow from its id, so grouping by the id alone gives
+    the same groups. Joining afterwards keeps titles out of the shuffles and
+    the streaming state, and a hot item meets the join as one row per window
+    instead of all its events. ``items`` has one row per id.
+    """
+    fixed = [*WINDOW_BOUNDS, "movie_id"]
+    measures = [c for c in trending.columns if c not in fixed]
+    joined = trending.join(items.select("movie_id", *attributes), "movie_id", "left")
+    return joined.select(*fixed, *attributes, *measures)
+
+
 def _trending_columns(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.select(
         *WINDOW_BOUNDS,

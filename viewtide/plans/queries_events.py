@@ -149,14 +149,19 @@ def shown_trending(df: DataFrame) -> DataFrame:
     return rounding(df, "avg_completion_pct", "total_watch_time_min")
 
 
+def trending_titles(spark, sf_dir, duration: str = windowed.WINDOW_DURATION) -> DataFrame:
+    counted = windowed.trending_content(domain.events(spark, sf_dir), duration)
+    return windowed.with_item_attributes(counted, item_dimension(spark, sf_dir))
+
+
 @query("trending_content", trending("5 minutes"))
 def trending_content(spark, sf_dir):
-    return shown_trending(windowed.trending_content(enriched(spark, sf_dir)))
+    return shown_trending(trending_titles(spark, sf_dir))
 
 
 @query("trending_content_daily", trending("1 day"))
 def trending_content_daily(spark, sf_dir):
-    return shown_trending(windowed.trending_content(enriched(spark, sf_dir), "1 day"))
+    return shown_trending(trending_titles(spark, sf_dir, "1 day"))
 
 
 HEALTH_COLUMNS = "country, genre_primary, device_type, quality, is_original, content_type"
@@ -230,7 +235,7 @@ def top_genres_countries(spark, sf_dir):
         ORDER BY view_count DESC, window_start, movie_id LIMIT 10""",
 )
 def top_trending(spark, sf_dir):
-    return snapshots.top_trending(windowed.trending_content(enriched(spark, sf_dir), "1 day"))
+    return snapshots.top_trending(trending_titles(spark, sf_dir, "1 day"))
 
 
 @query(

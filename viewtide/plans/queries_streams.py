@@ -62,15 +62,19 @@ def watched(spark, sf_dir) -> DataFrame:
     return enrich(domain.event_stream(spark, sf_dir))
 
 
-def enriched_stream(spark, sf_dir, with_users: bool = True) -> DataFrame:
+def enriched_stream(spark, sf_dir) -> DataFrame:
     """Stored dimensions: no micro-batch dedupes them again."""
     return enrich(
         domain.event_stream(spark, sf_dir),
-        user_dimension(spark, sf_dir, store=True) if with_users else None,
+        user_dimension(spark, sf_dir, store=True),
         item_dimension(spark, sf_dir, store=True),
     )
 
 
+def titled(spark, sf_dir, trending_items: DataFrame) -> DataFrame:
+    return windowed.with_item_attributes(trending_items, item_dimension(spark, sf_dir, store=True))
+
+
 @query("stream_file_source", "SELECT * FROM v_events")
 def stream_file_source(spark, sf_dir):
     return appended(spark, domain.event_stream(spark, sf_dir))
@@ -92,8 +96,8 @@ def stream_static_join(spark, sf_dir):
 @query("stream_trending_content", trending("5 minutes", closed("5 minutes")))
 def stream_trending_content(spark, sf_dir):
     """Append mode: windows the watermark has closed, with exact viewers."""
-    partials = appended(spark, windowed.trending_by_user(enriched_stream(spark, sf_dir, with_users=False)))
-    return shown_trending(windowed.trending_from_users(partials))
+    partials = appended(spark, windowed.trending_by_user(watched(spark, sf_dir)))
+    return shown_trending(titled(spark, sf_dir, windowed.trending_from_users(partials)))
 
 
 @query(
@@ -102,8 +106,8 @@ def stream_trending_content(spark, sf_dir):
 )
 def stream_trending_approx(spark, sf_dir):
     """One streaming aggregate; its viewer count is a sketch, so it is not compared."""
-    result = appended(spark, windowed.trending_approx(enriched_stream(spark, sf_dir, with_users=False), "1 hour"))
-    return shown_trending(result).drop("unique_viewers")
+    counted = windowed.trending_approx(watched(spark, sf_dir), "1 hour")
+    return shown_trending(appended(spark, titled(spark, sf_dir, counted))).drop("unique_viewers")
 
 
 @query(
@@ -175,15 +179,19 @@ def stream_memory_table(spark, sf_dir):
 def _snapshot(spark, sf_dir) -> tuple[str, str]:
     """Run the daily trending stream into two replaced tables."""
     sink = TableSink(scratch_path(spark, "snapshot"))
+    items = item_dimension(spark, sf_dir, store=True)
+
+    def counted(batch: DataFrame) -> DataFrame:
+        return windowed.with_item_attributes(windowed.trending_from_users(batch), items)
 
     def write_all(batch: DataFrame, _: int) -> None:
-        sink.overwrite(windowed.trending_from_users(batch), "trending")
+        sink.overwrite(counted(batch), "trending")
 
     def write_top(batch: DataFrame, _: int) -> None:
-        top = snapshots.top_trending(windowed.trending_from_users(batch))
+        top = snapshots.top_trending(counted(batch))
         sink.overwrite(top, "top_trending", sort_by=["-view_count", "window_start"])
 
-    stream = windowed.trending_by_user(enriched_stream(spark, sf_dir, with_users=False), "1 day")
+    stream = windowed.trending_by_user(watched(spark, sf_dir), "1 day")
     finish(to_batches(stream, {"trending": write_all, "top": write_top}, once(spark)))
     return sink.target("trending"), sink.target("top_trending")
 

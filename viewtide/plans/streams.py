@@ -43,27 +43,42 @@ def _dimension(
     return prepare_dimension(table, key, present, defaults=known, store=True)
 
 
+def item_dimension(items: DataFrame) -> DataFrame:
+    """The stored item dimension of the trending job."""
+    return _dimension(items, "movie_id", ITEM_COLUMNS)
+
+
 def trending_stream(
     events: DataFrame,
     items: DataFrame,
     duration: str = windowed.WINDOW_DURATION,
     watermark: str = WATERMARK_DELAY,
-    exact: bool = False,
 ) -> DataFrame:
     """Trending content over raw watch events (text ``timestamp``).
 
-    With ``exact`` the result has one row per window, item and user, for
-    :func:`~viewtide.operators.windowed.trending_from_users`; otherwise viewers
-    are approximate and the result is final.
+    Viewers are approximate. Items are counted by id and given their
+    attributes afterwards.
     """
-    enriched = enrich(
-        with_event_time(events),
-        items=_dimension(items, "movie_id", ITEM_COLUMNS),
-        watermark=watermark,
+    counted = windowed.trending_approx(
+        enrich(with_event_time(events), watermark=watermark), duration
+    )
+    return windowed.with_item_attributes(counted, item_dimension(items))
+
+
+def exact_trending_stream(
+    events: DataFrame,
+    duration: str = windowed.WINDOW_DURATION,
+    watermark: str = WATERMARK_DELAY,
+) -> DataFrame:
+    """One row per window, item and user, to be finished by :func:`exact_trending`."""
+    return windowed.trending_by_user(
+        enrich(with_event_time(events), watermark=watermark), duration
     )
-    if exact:
-        return windowed.trending_by_user(enriched, duration)
-    return windowed.trending_approx(enriched, duration)
+
+
+def exact_trending(partials: DataFrame, items: DataFrame) -> DataFrame:
+    """Trending content with exact viewers, from a batch or table of partial rows."""
+    return windowed.with_item_attributes(windowed.trending_from_users(partials), items)
 
 
 def health_stream(
@@ -75,7 +90,13 @@ def health_stream(
     keys: Sequence[str] = windowed.HEALTH_KEYS,
     exact: bool = False,
 ) -> DataFrame:
-    """Engagement health over raw watch events; ``exact`` as in trending."""
+    """Engagement health over raw watch events.
+
+    With ``exact`` the result has one row per window, segment and user, for
+    :func:`~viewtide.operators.windowed.health_from_users`; otherwise users are
+    approximate and the result is final. The segments are made of user and item
+    attributes, so the dimensions are joined first.
+    """
     enriched = enrich(
         with_event_time(events),
         users=_dimension(users, "user_id", HEALTH_USER_COLUMNS, USER_DEFAULTS),
@@ -111,10 +132,10 @@ def start_live_table(
     With ``monitor``, a second query also offers the rows as an in-memory
     table; it reads the source again and needs its own checkpoint.
     """
+    if monitor and monitor_settings is None:
+        raise ValueError("the monitor query needs settings with a checkpoint of its own")
     queries = [to_batches(stream, {name: replace_table(sink, name, sort_by)}, settings)]
     if monitor:
-        if monitor_settings is None:
-            raise ValueError("the monitor query needs settings with a checkpoint of its own")
         queries.append(to_memory(stream, monitor, monitor_settings))
     return queries
 

@@ -14,6 +14,11 @@ from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 TRIGGER_INTERVAL = "10 seconds"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: State on executor disks; each trigger uploads its changes, not all state.
+LARGE_STATE = {
+    "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 
 @dataclass(frozen=True)
@@ -41,7 +46,7 @@ def _session_settings(spark: SparkSession, settings: StreamSettings) -> Iterator
     if settings.state_partitions:
         wanted["spark.sql.shuffle.partitions"] = str(settings.state_partitions)
     if settings.large_state:
-        wanted["spark.sql.streaming.stateStore.providerClass"] = ROCKSDB
+        wanted |= LARGE_STATE
     previous = {key: spark.conf.get(key, None) for key in wanted}
     try:
         for key, value in wanted.items():
