@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,12 +49,19 @@ def _profiled(df: DataFrame, critical: Sequence[str] | None) -> tuple[DataFrame,
     return df.sparkSession.createDataFrame([row], profile.schema), df.select(*kept)
 
 
+def _side_by_side(spark: SparkSession, task: Callable, items: Iterable, at_once: int) -> list:
+    """Submit independent jobs together, so that small ones fill idle cores."""
+    with ThreadPoolExecutor(at_once) as pool:
+        return list(pool.map(inheritable_thread_target(spark)(task), items))
+
+
 def run_batch(
     spark: SparkSession,
     tables: Mapping[str, DataFrame],
     cleaned_sink: TableSink,
     result_sink: TableSink,
     critical: Mapping[str, Sequence[str]] = CRITICAL_COLUMNS,
+    at_once: int = 4,
 ) -> BatchRun:
     """Clean all tables, write them, and write the five engagement results.
 
@@ -61,19 +70,27 @@ def run_batch(
     tables and the star are written and read back rather than cached: five
     results scan only the star columns they use, and a lost executor costs a
     file read instead of the whole lineage. The user metrics share one rollup.
+    Up to ``at_once`` independent tables or results are in work together.
 
     ``cleaned_sink`` and ``result_sink`` must be file sinks that Spark can read
     back; :func:`export` copies from there to a warehouse.
     """
-    reports, summaries, cleaned = [], [], {}
-    for name, df in tables.items():
+    def clean_one(name: str) -> tuple[DataFrame, DataFrame, str]:
+        df = tables[name]
         profile, filled = _profiled(df, critical.get(name))
         label = F.lit(name).alias("table_name")
-        reports.append(quality_from(profile, df.columns).select(label, "*"))
-        summaries.append(summary_from(profile, df.columns).select(label, "*"))
-        cleaned[name] = cleaned_sink.overwrite(
+        target = cleaned_sink.overwrite(
             clean_rows(filled, critical.get(name)), CLEANED_NAMES.get(name, name.capitalize())
         )
+        return (
+            quality_from(profile, df.columns).select(label, "*"),
+            summary_from(profile, df.columns).select(label, "*"),
+            target,
+        )
+
+    done = _side_by_side(spark, clean_one, tables, at_once)
+    reports, summaries, targets = zip(*done)
+    cleaned = dict(zip(tables, targets))
 
     def stored(name: str) -> DataFrame:
         return spark.read.format(cleaned_sink.format).load(cleaned[name])
@@ -103,8 +120,13 @@ def run_batch(
         "genre_performance": metrics.genre_performance(sessions),
         "monthly_active_users": metrics.active_users_from(months),
     }
-    for name, df in aggregates.items():
-        results[name] = result_sink.overwrite(df, name, sort_by=metrics.PRESENTATION_ORDER[name])
+
+    def write_one(name: str) -> str:
+        return result_sink.overwrite(
+            aggregates[name], name, sort_by=metrics.PRESENTATION_ORDER[name]
+        )
+
+    results |= zip(aggregates, _side_by_side(spark, write_one, aggregates, at_once))
     return BatchRun(union_all(reports), union_all(summaries), cleaned, results)
 
 
