@@ -50,6 +50,9 @@ def movies_schema(original_flag: str = "is_original") -> StructType:
     return fields(**head, **{original_flag: "boolean"}, **tail)
 
 
+#: Tables with a documented schema; the others are inferred.
+TABLE_SCHEMAS = {"users": USERS, "movies": movies_schema(), "watch_history": WATCH_HISTORY}
+
 #: Columns that must be present for a row of each table to be usable.
 CRITICAL_COLUMNS = {
     "users": ["user_id", "email"],
