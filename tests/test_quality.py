@@ -74,6 +74,7 @@ def test_clean_and_its_summary_agree(table, rows):
 
 def test_clean_without_critical_columns(table, rows):
     assert rows(cleaning.clean(table)) == [("a", 1, 1.0)]
+    assert rows(quality.cleaning_summary(table)) == [(7, 1, 6, 4, 3, 1)]
 
 
 def test_empty_critical_column_is_an_error(table):

@@ -9,21 +9,12 @@ from pyspark.sql import functions as F
 
 from viewtide.functions.missing import missing, quoted
 from viewtide.operators.distribution import exact_quantiles
-from viewtide.operators.quality import usable
+from viewtide.operators.quality import filled_columns, usable
 
 
 def drop_empty_columns(df: DataFrame) -> DataFrame:
-    """Drop columns without any non-NULL value; one aggregate decides for all.
-
-    A table without rows keeps its columns: nothing is known about them.
-    """
-    counts = df.agg(
-        F.count(F.lit(1)).alias("total"),
-        *[F.count(quoted(c)).alias(f"n{i}") for i, c in enumerate(df.columns)],
-    ).first()
-    if counts["total"] == 0:
-        return df
-    return df.select(*[quoted(c) for i, c in enumerate(df.columns) if counts[f"n{i}"]])
+    """Drop columns without any non-NULL value."""
+    return df.select(*[quoted(c) for c in filled_columns(df)])
 
 
 def drop_missing(df: DataFrame, critical: Sequence[str] | None = None) -> DataFrame:

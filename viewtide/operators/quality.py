@@ -138,9 +138,24 @@ def summary_from(profile: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
+def filled_columns(df: DataFrame) -> list[str]:
+    """Columns with any non-NULL value, by one aggregate over all of them.
+
+    A table without rows keeps its columns: nothing is known about them.
+    """
+    counts = df.agg(
+        F.count(F.lit(1)).alias("total"),
+        *[F.count(quoted(c)).alias(f"n{i}") for i, c in enumerate(df.columns)],
+    ).first()
+    return [c for i, c in enumerate(df.columns) if counts[f"n{i}"] or not counts["total"]]
+
+
 def cleaning_summary(df: DataFrame, critical: Sequence[str] | None = None) -> DataFrame:
-    """What :func:`~viewtide.operators.cleaning.clean` removes, from one scan."""
-    return summary_from(table_profile(df, critical or df.columns), df.columns)
+    """What :func:`~viewtide.operators.cleaning.clean` removes, from one scan.
+
+    Without critical columns another scan finds the ones that must be complete.
+    """
+    return summary_from(table_profile(df, critical or filled_columns(df)), df.columns)
 
 
 def cleaning_summaries(

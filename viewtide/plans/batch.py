@@ -14,7 +14,7 @@ from viewtide.functions.eventtime import with_watch_month
 from viewtide.functions.missing import quoted
 from viewtide.operators import metrics
 from viewtide.operators.cleaning import clean_rows
-from viewtide.operators.quality import quality_from, summary_from, table_profile
+from viewtide.operators.quality import filled_columns, quality_from, summary_from, table_profile
 from viewtide.operators.star import star_join, valid_sessions
 from viewtide.schemas import CLEANED_NAMES, CRITICAL_COLUMNS
 from viewtide.sinks.tables import TableSink
@@ -39,7 +39,7 @@ class BatchRun:
 
 def _profiled(df: DataFrame, critical: Sequence[str] | None) -> tuple[DataFrame, DataFrame]:
     """The table's profile as a one-row frame, and the table without empty columns."""
-    profile = table_profile(df, critical or df.columns)
+    profile = table_profile(df, critical or filled_columns(df))
     row = profile.first()
     kept = [
         quoted(c)
@@ -75,6 +75,7 @@ def run_batch(
     ``cleaned_sink`` and ``result_sink`` must be file sinks that Spark can read
     back; :func:`export` copies from there to a warehouse.
     """
+
     def clean_one(name: str) -> tuple[DataFrame, DataFrame, str]:
         df = tables[name]
         profile, filled = _profiled(df, critical.get(name))

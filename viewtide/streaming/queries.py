@@ -170,6 +170,9 @@ def finish_all(spark: SparkSession, queries: Sequence[StreamingQuery]) -> None:
         while any(query.isActive for query in queries):
             spark.streams.awaitAnyTermination()
             spark.streams.resetTerminated()
+        for query in queries:
+            # Raises the error of a query that ended before it was awaited.
+            query.awaitTermination()
     finally:
         for query in queries:
             if query.isActive:
