@@ -156,6 +156,17 @@ def test_exact_quantiles_with_infinities(spark):
     assert found[0] == 3.0 and found[1] == 1.0
 
 
+def test_quantiles_of_several_columns_at_once(spark):
+    df = spark.range(1001).select(
+        F.col("id").cast("double").alias("a"),
+        (F.col("id") % 7).alias("b"),
+        F.lit(None).cast("double").alias("none"),
+        F.when(F.col("id") < 2, F.col("id") * 10.0).alias("c d"),
+    )
+    found = distribution.column_quantiles(df, {"a": [0.5, 0.999], "b": [0.25], "none": [0.5], "c d": [0.5]})
+    assert found == {"a": [500.0, 999.0], "b": [1.0], "none": [None], "c d": [5.0]}
+
+
 def test_quantiles_agree_with_duckdb(spark):
     rng = random.Random(3)
     values = [round(rng.expovariate(0.02), 2) for _ in range(2001)]

@@ -149,6 +149,21 @@ def test_sink_sorts_and_names_warehouse_tables(spark):
     assert TableSink("proj.set", "x", name_option="table").target("t") == "proj.set.t"
 
 
+def test_cluster_without_shared_dir_is_an_error():
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf = {}
+        sparkContext = Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(Session())
+
+
 def test_shared_dir_comes_from_the_session(spark):
     configured = spark.conf.get("spark.checkpoint.dir", None)
     assert shared_dir(spark) == (configured or shared_dir(spark)).rstrip("/")

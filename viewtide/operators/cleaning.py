@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from viewtide.functions.missing import missing, quoted
-from viewtide.operators.distribution import exact_quantiles
+from viewtide.operators.distribution import column_quantiles, exact_quantiles
 from viewtide.operators.quality import filled_columns, usable
 
 
@@ -59,6 +59,8 @@ def clean_rows(df: DataFrame, critical: Sequence[str] | None = None) -> DataFram
 
 def impute_constant(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
     """Fill missing values of each named column with its literal."""
+    if not values:
+        return df
     return df.withColumns(
         {
             name: F.when(missing(df, name), F.lit(value).cast(df.schema[name].dataType))
@@ -68,14 +70,11 @@ def impute_constant(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
     )
 
 
-def impute_median(df: DataFrame, columns: Iterable[str]) -> DataFrame:
+def impute_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Fill missing values with the column's exact median; the result is double."""
-    for name in columns:
-        (median,) = exact_quantiles(df, name, [0.5])
-        df = df.withColumn(name, quoted(name).cast("double"))
-        if median is not None:
-            df = impute_constant(df, {name: median})
-    return df
+    medians = column_quantiles(df, {name: [0.5] for name in columns})
+    doubles = df.withColumns({name: quoted(name).cast("double") for name in columns})
+    return impute_constant(doubles, {c: m for c, (m,) in medians.items() if m is not None})
 
 
 def iqr_filter(df: DataFrame, column: str, factor: float = 1.5) -> DataFrame:

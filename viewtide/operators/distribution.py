@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 import sys
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -52,9 +52,9 @@ def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
     )
 
 
-def _bin_of(low: float, high: float, bins: int) -> Column:
-    """Bin of ``x`` within [low, high]; the two ends always fall apart."""
-    x = F.col("x")
+def _bin_of(value: str, low: float, high: float, bins: int) -> Column:
+    """Bin of a value within [low, high]; the two ends always fall apart."""
+    x = F.col(value)
     bottom = max(low, -sys.float_info.max)
     top = min(high, sys.float_info.max)
     scale = 0.5 if math.isinf(top - bottom) else 1.0
@@ -66,21 +66,19 @@ def _bin_of(low: float, high: float, bins: int) -> Column:
     return F.when(x == low, 0).when(x == high, bins - 1).otherwise(inner)
 
 
-def _narrow(values: DataFrame, intervals: list[tuple[float, float]], bins: int) -> dict:
+def _narrow(values: DataFrame, intervals: list[tuple[str, float, float]], bins: int) -> dict:
     """Counts, minimum and maximum of every non-empty bin of each interval."""
-    tagged = F.coalesce(
-        *[
-            F.when(
-                F.col("x").between(low, high),
-                F.struct(F.lit(i).alias("interval"), _bin_of(low, high, bins).alias("bin")),
-            )
-            for i, (low, high) in enumerate(intervals)
-        ]
-    )
+    placed: dict[str, list[Column]] = {}
+    for i, (name, low, high) in enumerate(intervals):
+        bin_number = _bin_of(name, low, high, bins)
+        entry = F.struct(F.lit(i).alias("interval"), bin_number.alias("bin"), F.col(name).alias("x"))
+        placed.setdefault(name, []).append(F.when(F.col(name).between(low, high), entry))
+    # The intervals of a column are disjoint: a row has one entry per column.
+    entries = F.array(*[F.coalesce(*choices) for choices in placed.values()])
     rows = (
-        values.select("x", tagged.alias("t"))
-        .filter("t IS NOT NULL")
-        .groupBy("t.interval", "t.bin")
+        values.select(F.inline(entries))
+        .filter("interval IS NOT NULL")
+        .groupBy("interval", "bin")
         .agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("low"), F.max("x").alias("high"))
         .collect()
     )
@@ -90,44 +88,67 @@ def _narrow(values: DataFrame, intervals: list[tuple[float, float]], bins: int)
     return found
 
 
-def exact_quantiles(
-    df: DataFrame, column: str, probabilities: Sequence[float], bins: int = 1024
-) -> list[float | None]:
-    """Exact quantiles with linear interpolation; NULL and NaN are ignored.
+def column_quantiles(
+    df: DataFrame, wanted: Mapping[str, Sequence[float]], bins: int = 1024
+) -> dict[str, list[float | None]]:
+    """Exact quantiles of several columns, with linear interpolation.
 
-    A built-in exact percentile keeps every distinct value in one task. This
-    narrows the range instead: each round counts rows per bin (combined
-    map-side, at most ``bins`` small rows per sought rank reach the driver) and
-    goes on inside the bins that hold the ranks, until a bin has one value.
-    Typical data needs two or three scans of the single column.
+    NULL and NaN are ignored. A built-in exact percentile keeps every distinct
+    value in one task. This narrows the range instead: each round counts rows
+    per bin (combined map-side, at most ``bins`` small rows per sought rank
+    reach the driver) and goes on inside the bins that hold the ranks, until a
+    bin has one value. Typical data needs two or three rounds, and a round
+    reads ``df`` once for all columns.
     """
-    values = _present_doubles(df, column)
-    n, low, high = values.agg(F.count("x"), F.min("x"), F.max("x")).first()
-    if n == 0:
-        return [None] * len(probabilities)
-    ranks = {math.floor((n - 1) * p) for p in probabilities}
-    ranks |= {math.ceil((n - 1) * p) for p in probabilities}
-    known = {0: low, n - 1: high}
-    if low == high:
-        known = dict.fromkeys(ranks, low)
-    # rank -> (interval that holds it, rows below the interval)
-    open_ranks = {rank: ((low, high), 0) for rank in ranks if rank not in known}
-    while open_ranks:
-        intervals = sorted({interval for interval, _ in open_ranks.values()})
-        found = _narrow(values, intervals, bins)
-        for rank, (interval, below) in list(open_ranks.items()):
+    values = df.select(
+        *[F.when(~F.isnan(quoted(c).cast("double")), quoted(c).cast("double")).alias(f"x{i}")
+          for i, c in enumerate(wanted)]
+    )
+    totals = values.agg(
+        *[f(c).alias(f"{f.__name__}_{c}") for c in values.columns for f in (F.count, F.min, F.max)]
+    ).first()
+    sizes, known = {}, {}
+    # (column, rank) -> (interval that holds it, rows below the interval)
+    unsettled = {}
+    for name, points in zip(values.columns, wanted.values()):
+        n, low, high = (totals[f"{f}_{name}"] for f in ("count", "min", "max"))
+        sizes[name] = n
+        for p in points if n else []:
+            for rank in {math.floor((n - 1) * p), math.ceil((n - 1) * p)}:
+                if low == high or rank == 0:
+                    known[name, rank] = low
+                elif rank == n - 1:
+                    known[name, rank] = high
+                else:
+                    unsettled[name, rank] = ((name, low, high), 0)
+    while unsettled:
+        found = _narrow(values, sorted({i for i, _ in unsettled.values()}), bins)
+        for (name, rank), (interval, below) in list(unsettled.items()):
             for row in found[interval]:
                 if rank < below + row["n"]:
                     break
                 below += row["n"]
             if row["low"] == row["high"]:
-                known[rank] = row["low"]
-                del open_ranks[rank]
+                known[name, rank] = row["low"]
+                del unsettled[name, rank]
             else:
-                open_ranks[rank] = ((row["low"], row["high"]), below)
-    results = []
-    for p in probabilities:
-        position = (n - 1) * p
-        lower, upper = known[math.floor(position)], known[math.ceil(position)]
-        results.append(lower + (upper - lower) * (position - math.floor(position)))
-    return results
+                unsettled[name, rank] = ((name, row["low"], row["high"]), below)
+
+    def at(name: str, p: float) -> float | None:
+        if not sizes[name]:
+            return None
+        position = (sizes[name] - 1) * p
+        lower, upper = known[name, math.floor(position)], known[name, math.ceil(position)]
+        return lower + (upper - lower) * (position - math.floor(position))
+
+    return {
+        column: [at(name, p) for p in points]
+        for name, (column, points) in zip(values.columns, wanted.items())
+    }
+
+
+def exact_quantiles(
+    df: DataFrame, column: str, probabilities: Sequence[float], bins: int = 1024
+) -> list[float | None]:
+    """:func:`column_quantiles` of one column."""
+    return column_quantiles(df, {column: probabilities}, bins)[column]

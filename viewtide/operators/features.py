@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from viewtide.functions.missing import missing
 from viewtide.operators.cleaning import impute_constant
-from viewtide.operators.distribution import exact_quantiles
+from viewtide.operators.distribution import column_quantiles
 
 RFM = ("recency_days", "frequency", "monetary")
 
@@ -51,12 +51,13 @@ def rfm_scores(features: DataFrame, groups: int = 5) -> DataFrame:
     score alike.
     """
     points = [i / groups for i in range(1, groups)]
+    cuts = column_quantiles(features, {column: points for column in RFM})
     scores = {}
     for column, letter in zip(RFM, "rfm"):
-        cuts = exact_quantiles(features, column, points)
-        if cuts[0] is None:
-            return features.withColumns({f"{x}_score": F.lit(None).cast("int") for x in "rfm"})
-        scores[f"{letter}_score"] = _score(column, cuts, highest_first=column == "recency_days")
+        score = F.lit(None).cast("int")
+        if cuts[column][0] is not None:
+            score = _score(column, cuts[column], highest_first=column == "recency_days")
+        scores[f"{letter}_score"] = score
     return features.withColumns(scores)
 
 

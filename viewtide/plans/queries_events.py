@@ -116,16 +116,18 @@ def decode_json_events(spark, sf_dir):
 
 @query(
     "quarantine_events",
-    """SELECT CASE WHEN event_id % 50 = 3 THEN LEFT(value, 40) ELSE value END AS raw,
+    """SELECT CASE WHEN event_id % 50 = 3 THEN RTRIM(value, '}') ELSE value END AS raw,
               CASE event_id % 50 WHEN 1 THEN 'missing user_id' WHEN 2 THEN 'bad timestamp'
                    ELSE 'malformed' END AS reject_reason
        FROM v_encoded WHERE event_id % 50 IN (1, 2, 3)""",
 )
 def quarantine_events(spark, sf_dir):
     encoded = encode_json_events(spark, sf_dir)
-    cut = F.when(F.col("event_id") % 50 == 3, F.left("value", F.lit(40))).otherwise(F.col("value"))
+    # Every 50th message also loses its closing brace.
+    broken = F.rtrim("value", F.lit("}"))
+    sent = F.when(F.col("event_id") % 50 == 3, broken).otherwise(F.col("value"))
     validated = validate_events(
-        encoded.select(cut.alias("value")),
+        encoded.select(sent.alias("value")),
         required=["event_id", "user_id", "movie_id"],
         schema=MESSAGE_SCHEMA,
     )
