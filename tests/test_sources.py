@@ -168,3 +168,25 @@ def test_shared_dir_comes_from_the_session(spark):
     configured = spark.conf.get("spark.checkpoint.dir", None)
     assert shared_dir(spark) == (configured or shared_dir(spark)).rstrip("/")
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+def test_documented_schemas_read_their_files(spark, tmp_path):
+    lines = {
+        "users": "u1,a@x,A,B,NaN,,USA,TX,Austin,Basic,2024-01-05,True,,TV,,2024-01-05 10:11:12",
+        "movies": "m1,One,Movie,Drama,,2020,95.5,PG,English,USA,,1.5e6,,,,False,2023-05-06,True",
+        "watch_history": "s1,u1,m1,2024-05-01,TV,,12.5,started,HD,USA,False,",
+    }
+    for name, line in lines.items():
+        header = ",".join(schemas.TABLE_SCHEMAS[name].fieldNames())
+        (tmp_path / f"{name}.csv").write_text(f"{header}\n{line}\n")
+    files = {name: f"{name}.csv" for name in lines}
+    loaded = tables.load_tables(spark, str(tmp_path), files, schemas.TABLE_SCHEMAS)
+    user = loaded["users"].first()
+    assert user["is_active"] is True and user["monthly_spend"] is None
+    assert user["gender"] is None and str(user["created_at"]) == "2024-01-05 10:11:12"
+    movie = loaded["movies"].first()
+    assert (movie["release_year"], movie["production_budget"]) == (2020, 1.5e6)
+    assert movie["is_original"] is False and str(movie["added_to_platform"]) == "2023-05-06"
+    watched = loaded["watch_history"].first()
+    assert str(watched["watch_date"]) == "2024-05-01 00:00:00"
+    assert watched["user_rating"] is None and watched["is_download"] is False
