@@ -133,7 +133,7 @@ def gram_model(grams: DataFrame, depth: int = DEPTH) -> DataFrame:
     two = F.shiftrightunsigned("gram", 8 * (depth - 1))
     mixed = materialise(
         totals.withColumn("two", two).groupBy("two").applyInArrow(
-            lambda table: _subtree(depth)(table), "gram long, bits array<double>, node long, log_pw double"
+            _subtree(depth), "gram long, bits array<double>, node long, log_pw double"
         ),
         "ctw",
     )
@@ -208,7 +208,7 @@ def score_texts(docs: DataFrame, depth: int = DEPTH, block_bytes: int = BLOCK_BY
     docs = docs.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
     counts = materialise(
         docs.groupBy("block").applyInArrow(
-            lambda table: _count_block(depth)(table), "block int, is_word boolean, key long, n long"
+            _count_block(depth), "block int, is_word boolean, key long, n long"
         ),
         "counts",
     )
@@ -233,7 +233,7 @@ def score_texts(docs: DataFrame, depth: int = DEPTH, block_bytes: int = BLOCK_BY
     )
     kind = docs.schema["doc_id"].dataType.simpleString()
     scored = docs.groupBy("block").cogroup(values.groupBy("block")).applyInArrow(
-        lambda left, right: _score_block(depth)(left, right),
+        _score_block(depth),
         f"doc_id {kind}, held_out boolean, n_words long, n_known_words long, base_sum double, score double",
     )
     return scored.select(

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from viewtide.llm import lm_scoring
+from viewtide.llm import lm_scoring, packing
 from viewtide.llm.common import read_documents
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -17,8 +17,20 @@ def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score_texts(lm_scoring.held_out_by_id(read_documents(spark, sf_dir)))
 
 
+def word_tokenizer() -> str:
+    """The place of the public vocabulary; the same on all machines."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token pieces in sequences of 2,048."""
+    return packing.pack_documents(read_documents(spark, sf_dir), word_tokenizer())
+
+
 def queries() -> dict[str, Run]:
-    return {run.__name__: run for run in (op1_lm_scoring,)}
+    return {run.__name__: run for run in (op1_lm_scoring, op2_best_fit_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
