@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from viewtide.llm import lm_scoring, packing
+from viewtide.llm import lm_scoring, packing, secrets
 from viewtide.llm.common import read_documents
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -29,8 +29,26 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_documents(spark, sf_dir), word_tokenizer())
 
 
+def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of all documents, by base kinds and published key formats."""
+    return secrets.digest(secrets.find_secrets(read_documents(spark, sf_dir)))
+
+
+def _duck_spans(rule: secrets.Rule) -> str:
+    """Spans of one rule in DuckDB, as a list of structs."""
+    pattern = rule.pattern.replace("'", "''")
+    enough = f"WHERE length(part[i]) >= {rule.least}" if rule.group else ""
+    return f"""(SELECT coalesce(list({{'start': a, 'stop': a + length(found[i]), 'kind': '{rule.kind}'}}), []) FROM (
+        SELECT i, found, part, list_sum([length(x) for x in around[:i]])
+            + coalesce(list_sum([length(x) for x in found[:i - 1]]), 0) AS a
+        FROM (SELECT unnest(range(1, len(found) + 1)) AS i, found, part, around FROM (
+            SELECT regexp_extract_all(text, '{pattern}') AS found,
+                   regexp_extract_all(text, '{pattern}', {rule.group}) AS part,
+                   string_split_regex(text, '{pattern}') AS around))) {enough})"""
+
+
 def queries() -> dict[str, Run]:
-    return {run.__name__: run for run in (op1_lm_scoring, op2_best_fit_packing)}
+    return {run.__name__: run for run in (op1_lm_scoring, op2_best_fit_packing, op3_secret_scans)}
 
 
 def oracle_sql() -> dict[str, str]:
