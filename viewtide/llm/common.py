@@ -167,3 +167,15 @@ class SortedHashes:
             late = late[here[late] < hashes[late]]
         at[(here != hashes) | (at >= self.size)] = -1
         return at
+
+
+def word_windows(words: Words, hashes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All runs of ``size`` words within one text: their hash, first word and text."""
+    text_of = np.repeat(np.arange(len(words.rows) - 1), np.diff(words.rows))
+    n = max(0, len(hashes) - size + 1)
+    within = np.flatnonzero(text_of[:n] == text_of[len(text_of) - n :])
+    total = np.zeros(len(within), np.uint64)
+    for k in range(size):
+        total = (total + hashes[within + k]) * BASE
+        total ^= total >> np.uint64(29)
+    return mix(total), within, text_of[within]

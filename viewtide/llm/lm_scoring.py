@@ -35,9 +35,15 @@ from viewtide.llm.common import (
 from viewtide.session import materialise
 
 #: Bytes of preceding text in the longest contexts, and of text in a block.
-DEPTH, BLOCK_BYTES = 5, 24 << 20
+DEPTH, BLOCK_BYTES = 5, 16 << 20
 #: Bytes of text whose grams are held as arrays at once.
 CHUNK = 1 << 20
+#: Counted keys that wait before they are added up.
+WAITING = 1 << 20
+
+
+def _added_up(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    return sum_by_key(*(np.concatenate(x) for x in zip(*parts, strict=True)))
 
 
 def _count_block(depth: int):
@@ -55,9 +61,11 @@ def _count_block(depth: int):
                 for chosen, weight in ((keys[learns], 1), (keys[~learns], 0)):
                     k, n = count_keys(chosen)
                     found[is_word].append((k, n * weight))
+                if sum(len(k) for k, _ in found[is_word]) > 2 * len(found[is_word][0][0]) + WAITING:
+                    found[is_word] = [_added_up(found[is_word])]
         rows = []
         for is_word, parts in found.items():
-            keys, counts = sum_by_key(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+            keys, counts = _added_up(parts)
             rows.append(
                 pa.table(
                     {

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from viewtide.llm import lm_scoring, packing, secrets
+from viewtide.llm import lm_scoring, packing, quality, secrets
 from viewtide.llm.common import read_documents
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -47,8 +47,15 @@ def _duck_spans(rule: secrets.Rule) -> str:
                    string_split_regex(text, '{pattern}') AS around))) {enough})"""
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures and verdicts of all documents."""
+    judged = quality.assess(read_documents(spark, sf_dir))
+    names = "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept"
+    return judged.select(*names.split(), "log_perplexity", "spreads_away")
+
+
 def queries() -> dict[str, Run]:
-    return {run.__name__: run for run in (op1_lm_scoring, op2_best_fit_packing, op3_secret_scans)}
+    return {run.__name__: run for run in (op1_lm_scoring, op2_best_fit_packing, op3_secret_scans, op5_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
