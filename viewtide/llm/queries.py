@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from viewtide.llm import lm_scoring, packing, quality, secrets
+from viewtide.llm import jaccard_join, lm_scoring, packing, quality, secrets
 from viewtide.llm.common import read_documents
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -54,8 +54,13 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select(*names.split(), "log_perplexity", "spreads_away")
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of similar documents, by links between their shingle sets."""
+    return jaccard_join.similar_groups(read_documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Run]:
-    return {run.__name__: run for run in (op1_lm_scoring, op2_best_fit_packing, op3_secret_scans, op5_quality_rules)}
+    return {run.__name__: run for run in (op1_lm_scoring, op2_best_fit_packing, op3_secret_scans, op5_quality_rules, op7_jaccard_join)}
 
 
 def oracle_sql() -> dict[str, str]:
