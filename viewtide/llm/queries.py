@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from viewtide.llm import jaccard_join, language_id, lm_scoring, packing, quality, secrets, simhash
+from viewtide.llm import jaccard_join, language_id, lm_scoring, packing, pii, quality, secrets, simhash
 from viewtide.llm.common import read_documents
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -69,8 +69,13 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify_held_out(read_documents(spark, sf_dir))
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of all documents, with the terms that reveal it."""
+    return pii.scan(read_documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Run]:
-    return {run.__name__: run for run in (op1_lm_scoring, op2_best_fit_packing, op3_secret_scans, op5_quality_rules, op6_language_id, op7_jaccard_join, op9_simhash)}
+    return {run.__name__: run for run in (op1_lm_scoring, op2_best_fit_packing, op3_secret_scans, op5_quality_rules, op6_language_id, op7_jaccard_join, op9_simhash, op10_pii)}
 
 
 def oracle_sql() -> dict[str, str]:
