@@ -85,7 +85,7 @@ BASE, MIX1, MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9),
 _POWERS: dict[str, np.ndarray] = {}
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """BASE to the power 0, 1, ... modulo 2**64, and the inverses."""
     if len(_POWERS.get("up", ())) < n:
         size = 1 << max(16, (n - 1).bit_length())
@@ -125,7 +125,7 @@ class Words:
         """A 64-bit hash of each word's bytes."""
         if not len(self.start):
             return np.zeros(0, np.uint64)
-        up, down = _powers(len(self.data))
+        up, down = powers(len(self.data))
         sums = np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * up, dtype=np.uint64)
         before = np.where(self.start > 0, sums[self.start - 1], np.uint64(0))
         return mix((sums[self.end - 1] - before) * down[self.start])
