@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from viewtide.llm import jaccard_join, language_id, lm_scoring, packing, pii, quality, secrets, sentence_spans, simhash
+from viewtide.llm import jaccard_join, language_id, lm_scoring, mixing, packing, pii, quality, secrets, sentence_spans, simhash
 from viewtide.llm.common import read_documents
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -80,8 +80,14 @@ def op8_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_sentences", "n_removed", "first_docs", "text")
 
 
+def op4_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' places in a mixture of their sources."""
+    docs = read_documents(spark, sf_dir).select("doc_id", "text", "source")
+    return mixing.mix_sources(docs).drop("text")
+
+
 def queries() -> dict[str, Run]:
-    return {run.__name__: run for run in (op1_lm_scoring, op2_best_fit_packing, op3_secret_scans, op5_quality_rules, op6_language_id, op7_jaccard_join, op8_sentence_spans, op9_simhash, op10_pii)}
+    return {run.__name__: run for run in (op1_lm_scoring, op2_best_fit_packing, op3_secret_scans, op4_pfair_mixing, op5_quality_rules, op6_language_id, op7_jaccard_join, op8_sentence_spans, op9_simhash, op10_pii)}
 
 
 def oracle_sql() -> dict[str, str]:
