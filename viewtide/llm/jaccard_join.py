@@ -74,7 +74,7 @@ def set_id(shingles: np.ndarray) -> np.int64:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """Rows (doc_id, id, n, light) of documents, and rows (shingle, c) repeated within a batch.
+    """Rows (doc_id, version, id, n, light) of documents, and rows (shingle, c) repeated in a batch.
 
     ``light`` holds the set itself where it is small enough to be light.
     """
@@ -99,16 +99,17 @@ def signatures(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.concat_arrays([batch.column("doc_id"), none["doc_id"]]),
+                    pa.concat_arrays([batch.column("version"), none["id"]]),
                     pa.concat_arrays([pa.array(ids, pa.int64()), none["id"]]),
                     pa.concat_arrays([pa.array(sizes, pa.int64()), none["id"]]),
                     pa.concat_arrays([pa.array(light, pa.binary()), pa.nulls(m, pa.binary())]),
                     pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(keys[many].view(np.int64))]),
                     pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(counts[many])]),
                 ],
-                ["doc_id", "id", "n", "light", "shingle", "c"],
+                ["doc_id", "version", "id", "n", "light", "shingle", "c"],
             )
 
-    return docs.mapInArrow(sign, f"doc_id {kind}, id long, n long, light binary, shingle long, c long")
+    return docs.mapInArrow(sign, f"doc_id {kind}, version long, id long, n long, light binary, shingle long, c long")
 
 
 def light_boundary(histogram: dict[int, int]) -> int:
@@ -301,15 +302,18 @@ def heavy_edges(docs: DataFrame, classes: DataFrame, lists: DataFrame, edges: Da
 
 
 def similar_groups(docs: DataFrame) -> DataFrame:
-    """Rows (doc_id, n_shingles, class_id, component_id) for each row of ``docs`` (doc_id, text).
+    """Rows (doc_id, version, n_shingles, class_id, component, component_id) for each row of
+    ``docs`` (doc_id, text).
 
-    ``component_id`` is the smallest doc_id that links reach. A text without words has no
-    shingles and stays by itself, as does a null text. Repeated rows and equal texts share a
-    class; a null id never names a group that has another id.
+    ``component_id`` is the smallest doc_id that links reach, and ``component`` names the group
+    itself; ``version`` is a hash of the text. A text without words has no shingles and stays
+    by itself, as does a null text. Repeated rows and equal texts share a class; a null id
+    never names a group that has another id.
     """
     docs = docs.select("doc_id", whole_text().alias("text"))
+    docs = docs.withColumn("version", F.xxhash64("text"))
     signed = materialise(signatures(docs), "signatures")
-    own = signed.filter("n IS NOT NULL").select("doc_id", "id", "n", "light")
+    own = signed.filter("n IS NOT NULL").select("doc_id", "version", "id", "n", "light")
     classes = materialise(
         own.filter("n > 0").groupBy("id").agg(
             F.first("n").alias("n"), F.first("light").alias("light"), F.min("doc_id").alias("first_doc")
@@ -334,9 +338,36 @@ def similar_groups(docs: DataFrame) -> DataFrame:
     named = classes.select("id", "first_doc").join(found.withColumnRenamed("node", "id"), "id", "left")
     named = named.withColumn("component", F.coalesce("component", "id"))
     lowest = named.groupBy(F.col("component").alias("of")).agg(F.min("first_doc").alias("component_id"))
-    named = named.join(lowest, F.col("component") == F.col("of")).select("id", "component_id")
+    named = named.join(lowest, F.col("component") == F.col("of")).select("id", "component", "component_id")
     result = own.join(named, "id", "left")
     alone = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
     return result.select(
-        "doc_id", F.col("n").alias("n_shingles"), F.col("id").alias("class_id"), alone.alias("component_id")
+        "doc_id",
+        "version",
+        F.col("n").alias("n_shingles"),
+        F.col("id").alias("class_id"),
+        "component",
+        alone.alias("component_id"),
     )
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """One row of each group of ``docs``, with its columns: the one with the smallest doc_id.
+
+    Texts without words are in no group and stay. Rows that repeat both id and text count as
+    one document; null ids come last.
+    """
+    names = docs.columns
+    groups = similar_groups(docs)
+    first = F.min(F.struct(F.isnull("doc_id").alias("unnamed"), "doc_id", "version")).alias("first")
+    grouped = groups.filter("component IS NOT NULL").groupBy("component").agg(first).select("first.doc_id", "first.version")
+    alone = groups.filter("component IS NULL").select("doc_id", "version").distinct()
+    chosen = grouped.union(alone).select(F.col("doc_id").alias("of_doc"), F.col("version").alias("of_version"))
+    rows = docs.select(
+        F.struct(*(F.col(f"`{name}`") for name in names)).alias("row"),
+        "doc_id",
+        F.xxhash64(whole_text()).alias("version"),
+    )
+    kept = rows.join(chosen, F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.col("version") == F.col("of_version")))
+    repeats = Window.partitionBy("doc_id", "version").orderBy("version")
+    return kept.withColumn("nth", F.row_number().over(repeats)).filter("nth = 1").select("row.*")

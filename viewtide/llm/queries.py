@@ -56,7 +56,8 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of similar documents, by links between their shingle sets."""
-    return jaccard_join.similar_groups(read_documents(spark, sf_dir))
+    groups = jaccard_join.similar_groups(read_documents(spark, sf_dir))
+    return groups.select("doc_id", "n_shingles", "component_id", "class_id")
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
