@@ -108,18 +108,21 @@ def term_hashes(texts: list[str]) -> list[int]:
 
 
 def _contexts(text: str, spans: list[Span], words: Words, hashes: np.ndarray, row: int) -> Iterator[tuple[int, int, int]]:
-    """(entity, term, context) for the terms around each span of one text."""
+    """(entity, term, context) of one text: an entity's context there is all its spans' terms."""
     own = slice(words.rows[row], words.rows[row + 1])
     start = words.start[own] - words.text_start[row]
     end = words.end[own] - words.text_start[row]
+    around: dict[int, list[np.ndarray]] = {}
     for kind, a, b in spans:
         first, last = len(text[:a].encode()), len(text[:b].encode())
-        before = np.flatnonzero(end <= first)[-NEAR:]
-        after = np.flatnonzero(start >= last)[:NEAR]
-        around = hashes[own][np.concatenate((before, after))]
-        context = hashlib.blake2b(around.tobytes(), digest_size=8).digest()
-        for term in np.unique(around).view(np.int64).tolist():
-            yield _entity(kind, text[a:b]), term, int.from_bytes(context, "little", signed=True)
+        before, after = np.searchsorted(end, first, "right"), np.searchsorted(start, last)
+        near = np.concatenate((hashes[own][max(0, before - NEAR) : before], hashes[own][after : after + NEAR]))
+        around.setdefault(_entity(kind, text[a:b]), []).append(near)
+    for entity, near in around.items():
+        terms = np.unique(np.concatenate(near))
+        context = hashlib.blake2b(terms.tobytes(), digest_size=8).digest()
+        for term in terms.view(np.int64).tolist():
+            yield entity, term, int.from_bytes(context, "little", signed=True)
 
 
 def count_corpus(docs: DataFrame) -> DataFrame:
