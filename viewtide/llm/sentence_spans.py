@@ -1,7 +1,7 @@
 """Substring dedup by sliding sentence spans.
 
 From every sentence the shortest run of several consecutive sentences with enough words is
-hashed. Runs join globally by hash; the first occurrence (by document id, then place) stays,
+hashed, and the shortest one that ends a document. Runs join globally by hash; the first occurrence (by document id, then place) stays,
 and every sentence that some later occurrence covers is removed.
 """
 
@@ -18,7 +18,7 @@ from viewtide.llm.common import BASE, LOWER, Words, flat, mix, powers, row_chunk
 from viewtide.session import materialise
 
 #: Sentences and words that a run has at least, and the words from which one sentence is a run.
-SENTENCES, WORDS, LONG_SENTENCE = 2, 20, 50
+SENTENCES, WORDS, LONG_SENTENCE = 2, 10, 50
 CHUNK = 1 << 20
 
 _STOP = np.zeros(256, bool)
@@ -59,8 +59,13 @@ class Sentences:
         stop = np.maximum(np.searchsorted(bound, first + WORDS), each + SENTENCES)
         fits = np.flatnonzero(stop <= self.rows[text + 1])
         alone = np.flatnonzero(np.diff(bound) >= LONG_SENTENCE)
-        begin = np.concatenate((each[fits], alone))
-        stop = np.concatenate((stop[fits], alone + 1))
+        full = np.flatnonzero(np.diff(self.rows))
+        ends = self.rows[full + 1]
+        last = np.minimum(np.searchsorted(bound, bound[ends] - WORDS, "right") - 1, ends - SENTENCES)
+        closes = last >= self.rows[full]
+        begin = np.concatenate((each[fits], alone, last[closes]))
+        stop = np.concatenate((stop[fits], alone + 1, ends[closes]))
+        begin, stop = np.unique(np.stack((begin, stop)), axis=1)
         if not len(begin):
             return (np.zeros(0, np.uint64), *(np.zeros(0, np.int64),) * 3)
         up, down = powers(len(words.start) + 1)
