@@ -29,8 +29,9 @@ from viewtide.session import materialise
 #: Words in a shingle; a link needs NEED_A * intersection >= NEED_B * union.
 SHINGLE = 5
 NEED_A, NEED_B = 4, 3
-#: Largest set that may be light, and the work of a list entry in rows of a subset.
-MOST_LIGHT, ENTRY_COST = 14, 2.0
+#: Largest set that may be light, and the work of a list entry and of verifying a heavy set, in
+#: rows of a subset.
+MOST_LIGHT, ENTRY_COST, VERIFY_COST = 14, 2.0, 8.0
 #: Shingles known to be frequent: how many at most (it bounds the broadcast), and from what count.
 #: They only order a set's shingles, which changes the work and not the result.
 MOST_FREQUENT, FREQUENT = 1 << 18, 8
@@ -124,7 +125,7 @@ def light_boundary(histogram: dict[int, int]) -> int:
             if 0 < size <= most:
                 total += count * subsets(size, most)
             if NEED_A * size >= NEED_B * (most + 1):
-                total += count * prefix(size) * ENTRY_COST
+                total += count * (prefix(size) * ENTRY_COST + VERIFY_COST)
         return total
 
     return min(range(MOST_LIGHT + 1), key=cost)
