@@ -1,0 +1,95 @@
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from tests.llm.cases import GERMAN, documents, frame, plain, prose
+from viewtide.llm import language_id as li
+
+
+def brute_viterbi(scores, switch):
+    n, k = scores.shape
+    best, back = scores[0].astype(float), []
+    for t in range(1, n):
+        step, new = [], []
+        for j in range(k):
+            options = [best[i] - (switch if i != j else 0) for i in range(k)]
+            step.append(int(np.argmax(options)))
+            new.append(max(options) + scores[t, j])
+        best = np.array(new)
+        back.append(step)
+    return best.max()
+
+
+def path_value(scores, labels, switch):
+    return sum(scores[t, x] - (switch if t and labels[t - 1] != x else 0) for t, x in enumerate(labels))
+
+
+def test_viterbi_matches_brute_force():
+    rng = np.random.default_rng(3)
+    lengths = [0, 1, 7, 40, 0, 13]
+    rows = np.concatenate(([0], np.cumsum(lengths)))
+    scores = rng.normal(size=(rows[-1], 3), scale=4).astype(np.float32)
+    labels = li.viterbi(scores, rows, 5.0)
+    for a, b in zip(rows[:-1], rows[1:], strict=True):
+        if b > a:
+            assert path_value(scores[a:b], labels[a:b], 5.0) == pytest.approx(brute_viterbi(scores[a:b], 5.0), rel=1e-4)
+
+
+RUSSIAN = [a + b for a in "при ста нов вед".split() for b in "ный ка ть ом".split()]
+
+
+def corpus():
+    rows = [(k, prose(k, 60), "en", "a") for k in range(60)]
+    rows += [(100 + k, prose(k, 60, GERMAN), "de", "a") for k in range(60)]
+    return rows + [(200 + k, prose(k, 60, RUSSIAN), "ru", "a") for k in range(30)]
+
+
+def test_held_out_accuracy_and_labels_are_no_input(spark):
+    rows = corpus()
+    made = li.identify_held_out(plain(spark, rows)).collect()
+    want = {r[0]: r[2] for r in rows}
+    assert len(made) == len(rows)
+    for r in made:
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1)
+        assert r.lang_pred == want[r.doc_id] and 0 <= r.score <= 1
+    # Labels of held-out rows change nothing.
+    other = [(i, t, "xx" if zlib.crc32(str(i).encode()) % 3 == 1 else lang, s) for i, t, lang, s in rows]
+    again = li.identify_held_out(plain(spark, other)).collect()
+    assert sorted((r.doc_id, r.lang_pred, r.score) for r in again) == sorted((r.doc_id, r.lang_pred, r.score) for r in made)
+
+
+def test_spans_of_mixed_text(spark):
+    counts = li.count_training(plain(spark, corpus()))
+    first, second, third = prose(900, 40), prose(901, 40, GERMAN), prose(902, 40, RUSSIAN)
+    text = f"😀 {first} {second} {third}"
+    [row] = li.identify(plain(spark, [(1, text, None, None)]), counts).collect()
+    assert [s.lang for s in row.spans] == ["en", "de", "ru"]
+    edges = [text.index(second), text.index(third)]
+    for span, nxt, edge in zip(row.spans, row.spans[1:], edges):
+        assert abs(span.stop - edge) < 25 and abs(nxt.start - edge) < 25
+    assert text[row.spans[0].start :].lstrip("😀 ").startswith(first[:5])
+
+
+def test_scripts_narrow_the_candidates():
+    data = np.frombuffer("abc при λόγος 漢字 한국 é".encode(), np.uint8)
+    runs = li.LetterRuns(data, np.array([0, len(data)]))
+    bits = np.bitwise_or.reduceat(runs.scripts(), runs.first)
+    names = [[n for k, n in enumerate(li._NAMES) if bit >> k & 1] for bit in bits]
+    assert names == [["latin"], ["cyrillic"], ["greek"], ["han"], ["hangul"], ["latin"]]
+
+
+def test_awkward_rows(spark):
+    docs = frame(spark)
+    made = li.identify(docs, li.count_training(docs))
+    rows = made.collect()
+    assert made.columns == [c for c in docs.columns if c != "score"] + ["lang_pred", "score", "spans"]
+    assert len(rows) == len(documents())
+    for r in rows:
+        letters = any(c.isalpha() for c in r.text or "")
+        assert (r.lang_pred == "und") == (not letters)
+        assert r.lang_pred in ("en", "de", "und") and 0 <= r.score <= 1
+    assert li.identify_held_out(frame(spark, [])).collect() == []
+    unlabelled = [(k, random.Random(k).choice(["abc", ""]), None, None) for k in range(4)]
+    assert {r.lang_pred for r in li.identify_held_out(plain(spark, unlabelled)).collect()} == {"und"}
