@@ -135,8 +135,10 @@ def _quantile_inputs():
     yield "whole numbers", [float(rng.randrange(50)) for _ in range(997)]
 
 
+@pytest.mark.parametrize("few, accuracy", [(10_000, 10_000), (3, 8)])
 @pytest.mark.parametrize("name, values", list(_quantile_inputs()))
-def test_exact_quantiles_equal_sorting(spark, name, values):
+def test_exact_quantiles_equal_sorting(spark, monkeypatch, name, values, few, accuracy):
+    monkeypatch.setattr(distribution, "FEW_ROWS", few)
     points = [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]
     ordered = sorted(values)
 
@@ -146,13 +148,36 @@ def test_exact_quantiles_equal_sorting(spark, name, values):
         return low + (high - low) * (position - math.floor(position))
 
     df = spark.createDataFrame([(v,) for v in [*values, None, NAN]], "x DOUBLE")
-    assert distribution.exact_quantiles(df, "x", points, bins=16) == [expected(p) for p in points]
+    assert distribution.exact_quantiles(df, "x", points, accuracy) == [expected(p) for p in points]
+
+
+@pytest.mark.parametrize(
+    "value",
+    [
+        "cast(concat('1e', id % 600 - 300) AS double) * (1 + id / 1e6)",
+        "if(id % 1000 = 0, id / 7D, 42D)",
+        "if(id < 99999, 1D, id * 1D)",
+        "id * 1D",
+    ],
+)
+def test_quantiles_settle_in_seven_passes(spark, monkeypatch, value):
+    n, passes, first = 200_000, [], type(spark.range(1)).first
+    monkeypatch.setattr(type(spark.range(1)), "first", lambda self: passes.append(1) or first(self))
+    df = spark.range(n).selectExpr(f"{value} AS x").cache()
+    found = distribution.exact_quantiles(df, "x", [0.1, 0.25, 0.5, 0.9])
+    assert len(passes) <= 7
+    ordered = np.sort(df.toPandas()["x"].to_numpy())
+    df.unpersist()
+    for p, mine in zip([0.1, 0.25, 0.5, 0.9], found):
+        position = (n - 1) * p
+        low, high = ordered[math.floor(position)], ordered[math.ceil(position)]
+        assert mine == low + (high - low) * (position - math.floor(position))
 
 
 def test_exact_quantiles_with_infinities(spark):
     values = [float("-inf"), 1.0, 2.0, 3.0, float("inf"), float("inf"), 1.7976931348623157e308]
     df = spark.createDataFrame([(v,) for v in values], "x DOUBLE")
-    found = distribution.exact_quantiles(df, "x", [0.5, 1 / 6], bins=4)
+    found = distribution.exact_quantiles(df, "x", [0.5, 1 / 6])
     assert found[0] == 3.0 and found[1] == 1.0
 
 

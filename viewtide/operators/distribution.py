@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import math
-import sys
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -52,53 +52,87 @@ def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
     )
 
 
-def _bin_of(value: str, low: float, high: float, bins: int) -> Column:
-    """Bin of a value within [low, high]; the two ends always fall apart."""
-    x = F.col(value)
-    bottom = max(low, -sys.float_info.max)
-    top = min(high, sys.float_info.max)
-    scale = 0.5 if math.isinf(top - bottom) else 1.0
-    span = top * scale - bottom * scale
-    inner = F.lit(0)
-    if span > 0:
-        share = (x * scale - F.lit(bottom * scale)) / F.lit(span)
-        inner = F.least(F.floor(share * bins), F.lit(bins - 1)).cast("int")
-    return F.when(x == low, 0).when(x == high, bins - 1).otherwise(inner)
-
-
-def _narrow(values: DataFrame, intervals: list[tuple[str, float, float]], bins: int) -> dict:
-    """Counts, minimum and maximum of every non-empty bin of each interval."""
-    placed: dict[str, list[Column]] = {}
-    for i, (name, low, high) in enumerate(intervals):
-        bin_number = _bin_of(name, low, high, bins)
-        entry = F.struct(F.lit(i).alias("interval"), bin_number.alias("bin"), F.col(name).alias("x"))
-        placed.setdefault(name, []).append(F.when(F.col(name).between(low, high), entry))
-    # The intervals of a column are disjoint: a row has one entry per column.
-    entries = F.array(*[F.coalesce(*choices) for choices in placed.values()])
-    rows = (
-        values.select(F.inline(entries))
-        .filter("interval IS NOT NULL")
-        .groupBy("interval", "bin")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("low"), F.max("x").alias("high"))
-        .collect()
-    )
-    found: dict = {}
-    for row in sorted(rows, key=lambda r: (r["interval"], r["bin"])):
-        found.setdefault(intervals[row["interval"]], []).append(row)
-    return found
+#: Accuracy of the sketch that brackets a rank, and rows that are few enough to be sorted.
+SKETCH_ACCURACY, FEW_ROWS = 10_000, 10_000
+
+
+@dataclass(frozen=True)
+class _Sought:
+    """A rank of a column, inside ``low`` to ``high`` with so many rows below and inside."""
+
+    name: str
+    rank: int
+    low: float
+    high: float
+    below: int
+    inside: int
+
+    def within(self) -> Column:
+        return F.col(self.name).between(self.low, self.high)
+
+
+def _bracketed(values: DataFrame, sought: list[_Sought], accuracy: int) -> list[_Sought]:
+    """Closer limits for every rank: a sketch of the rows inside, then a count around its answer."""
+    asked = []
+    for one in sought:
+        at = (one.rank - one.below) / one.inside
+        points = [max(0.0, at - 2 / accuracy), min(1.0, at + 2 / accuracy)]
+        asked.append(F.percentile_approx(F.when(one.within(), F.col(one.name)), points, accuracy))
+    limits = values.agg(*(column.alias(f"a{i}") for i, column in enumerate(asked))).first()
+    counted = []
+    for i, one in enumerate(sought):
+        low, high = limits[i]
+        x, inner = F.col(one.name), F.col(one.name).between(low, high)
+        counted += [
+            F.count_if(x < low).alias(f"below{i}"),
+            F.count_if(inner).alias(f"inside{i}"),
+            F.count_if(x == low).alias(f"lows{i}"),
+            F.count_if(x == high).alias(f"highs{i}"),
+            F.min(F.when(inner & (x > low), x)).alias(f"next{i}"),
+            F.max(F.when(inner & (x < high), x)).alias(f"last{i}"),
+        ]
+    counts = values.agg(*counted).first()
+    closer = []
+    for i, one in enumerate(sought):
+        low, high = limits[i]
+        below, inside, lows, highs = (counts[f"{name}{i}"] for name in ("below", "inside", "lows", "highs"))
+        end = below + inside
+        if one.rank < below:
+            # Past the sketch's error bound: the rank is on one side of its answer.
+            found = low, one.below, below + lows - one.below
+            closer.append(_Sought(one.name, one.rank, one.low, *found))
+        elif one.rank >= end:
+            found = one.high, end - highs, one.below + one.inside - end + highs
+            closer.append(_Sought(one.name, one.rank, high, *found))
+        elif one.rank < below + lows:
+            closer.append(_Sought(one.name, one.rank, low, low, below, lows))
+        elif one.rank >= end - highs:
+            closer.append(_Sought(one.name, one.rank, high, high, end - highs, highs))
+        else:
+            # Without its two ends, so that a round always leaves less, however hot a value is.
+            rest = below + lows, inside - lows - highs
+            closer.append(_Sought(one.name, one.rank, counts[f"next{i}"], counts[f"last{i}"], *rest))
+    return closer
+
+
+def _picked(values: DataFrame, sought: list[_Sought]) -> list[float]:
+    """The value of each rank, from the few rows inside its limits."""
+    lists = [F.sort_array(F.collect_list(F.when(one.within(), F.col(one.name)))) for one in sought]
+    places = [F.element_at(rows, one.rank - one.below + 1) for rows, one in zip(lists, sought)]
+    return list(values.agg(*places).first())
 
 
 def column_quantiles(
-    df: DataFrame, wanted: Mapping[str, Sequence[float]], bins: int = 1024
+    df: DataFrame, wanted: Mapping[str, Sequence[float]], accuracy: int = SKETCH_ACCURACY
 ) -> dict[str, list[float | None]]:
     """Exact quantiles of several columns, with linear interpolation.
 
     NULL and NaN are ignored. A built-in exact percentile keeps every distinct
-    value in one task. This narrows the range instead: each round counts rows
-    per bin (combined map-side, at most ``bins`` small rows per sought rank
-    reach the driver) and goes on inside the bins that hold the ranks, until a
-    bin has one value. Typical data needs two or three rounds, and a round
-    reads ``df`` once for all columns.
+    value in one task. Here a sketch brackets each sought rank, two counts say
+    how many rows lie below and inside, and once few are inside they are
+    sorted. Limits come from ranks, not from the range of the values, and each
+    round leaves about ``4 / accuracy`` of the rows: 200,000 rows take four
+    passes over ``df``, and a hundred million six, however they are spread.
     """
     values = df.select(
         *[F.when(~F.isnan(quoted(c).cast("double")), quoted(c).cast("double")).alias(f"x{i}")
@@ -108,31 +142,31 @@ def column_quantiles(
         *[f(c).alias(f"{f.__name__}_{c}") for c in values.columns for f in (F.count, F.min, F.max)]
     ).first()
     sizes, known = {}, {}
-    # (column, rank) -> (interval that holds it, rows below the interval)
-    unsettled = {}
+    sought = []
     for name, points in zip(values.columns, wanted.values()):
         n, low, high = (totals[f"{f}_{name}"] for f in ("count", "min", "max"))
         sizes[name] = n
-        for p in points if n else []:
-            for rank in {math.floor((n - 1) * p), math.ceil((n - 1) * p)}:
-                if low == high or rank == 0:
-                    known[name, rank] = low
-                elif rank == n - 1:
-                    known[name, rank] = high
-                else:
-                    unsettled[name, rank] = ((name, low, high), 0)
-    while unsettled:
-        found = _narrow(values, sorted({i for i, _ in unsettled.values()}), bins)
-        for (name, rank), (interval, below) in list(unsettled.items()):
-            for row in found[interval]:
-                if rank < below + row["n"]:
-                    break
-                below += row["n"]
-            if row["low"] == row["high"]:
-                known[name, rank] = row["low"]
-                del unsettled[name, rank]
+        ranks = {r for p in points if n for r in (math.floor((n - 1) * p), math.ceil((n - 1) * p))}
+        for rank in sorted(ranks):
+            if low == high or rank == 0:
+                known[name, rank] = low
+            elif rank == n - 1:
+                known[name, rank] = high
             else:
-                unsettled[name, rank] = ((name, row["low"], row["high"]), below)
+                sought.append(_Sought(name, rank, low, high, 0, n))
+    while True:
+        for one in sought:
+            if one.low == one.high:
+                known[one.name, one.rank] = one.low
+        sought = [one for one in sought if one.low != one.high]
+        wide = [one for one in sought if one.inside > FEW_ROWS]
+        if not wide:
+            break
+        few = [one for one in sought if one.inside <= FEW_ROWS]
+        sought = few + _bracketed(values, wide, accuracy)
+    if sought:
+        for one, value in zip(sought, _picked(values, sought)):
+            known[one.name, one.rank] = value
 
     def at(name: str, p: float) -> float | None:
         if not sizes[name]:
@@ -148,7 +182,7 @@ def column_quantiles(
 
 
 def exact_quantiles(
-    df: DataFrame, column: str, probabilities: Sequence[float], bins: int = 1024
+    df: DataFrame, column: str, probabilities: Sequence[float], accuracy: int = SKETCH_ACCURACY
 ) -> list[float | None]:
     """:func:`column_quantiles` of one column."""
-    return column_quantiles(df, {column: probabilities}, bins)[column]
+    return column_quantiles(df, {column: probabilities}, accuracy)[column]
