@@ -100,8 +100,14 @@ def test_keep_one_of_each_group(spark):
 def test_overlap_is_the_least_that_links(a, b):
     least = min(c for c in range(min(a, b) + 1) if 100 * c >= 75 * (a + b - c))
     assert jj.overlap(a, b) == least
-    for small in range(1, 200):
-        assert jj.prefix(small) == small - math.ceil(0.75 * small) + 1
+
+
+def test_least_shared_holds_for_every_partner():
+    for n in range(1, 150):
+        assert jj.prefix(n) >= n - math.ceil(0.75 * n) + 1
+        for m in range(math.ceil(0.75 * n), 4 * n // 3 + 1):
+            shared = jj.overlap(n, m) - max(n - jj.prefix(n), m - jj.prefix(m))
+            assert jj.least_shared(n) <= max(1, shared)
 
 
 def test_boundary_follows_cost():

@@ -3,11 +3,13 @@
 Texts with equal sets form a class, and links are sought between classes. A set is light
 up to a boundary that the sizes' histogram chooses by cost. Two light sets link exactly if
 they share a subset of the size their link needs, so light sets enumerate those subsets and
-meet in their keys. Heavy sets scan inverted lists over the first quarter of each set, in an
-order that puts frequent shingles last; pairs that share enough there are verified.
+meet in their keys. Heavy sets scan inverted lists. A first scan over a third of each set
+leaves the sets that share enough of it with others to link at all; those that only share a
+passage do not. What is left is listed whole, rarest shingles first, and pairs that meet
+early enough in both orders are verified.
 
 A list may hold very many near copies of one another. So every member is first compared
-with one representative of its lists, verified links are contracted to components, and only
+with the plainest set of its lists, verified links are contracted to components, and only
 members of different components are paired after that: no link between components is lost,
 and links inside a component change nothing.
 """
@@ -19,7 +21,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from viewtide.llm.common import LOWER, SortedHashes, Words, count_keys, flat, mix, row_chunks, whole_text, word_windows
@@ -46,8 +48,19 @@ def overlap(a, b):
 
 
 def prefix(size: int) -> int:
-    """So many first shingles that linked sets of this size or larger share one at least."""
-    return size - math.ceil(NEED_B * size / NEED_A) + 1
+    """First shingles that are listed: a third, where a quarter would do for one in common."""
+    return size - -(-2 * size // 3) + 1
+
+
+def least_shared(size: int) -> int:
+    """So many of its first shingles a set shares with any linked set, whatever that one's size.
+
+    Of the whole intersection, no more than the longer rest of the two sets lies beyond their
+    first shingles. The bound is lowest for the smallest and the largest partner.
+    """
+    small, large = -(-NEED_B * size // NEED_A), NEED_A * size // NEED_B
+    rest = max(size - prefix(size), small - prefix(small))
+    return max(1, min(overlap(size, small) - rest, overlap(size, large) - (large - prefix(large))))
 
 
 def shingle_sets(texts: pa.Array):
@@ -170,11 +183,11 @@ def light_edges(classes: DataFrame, most: int) -> DataFrame:
 
 
 def inverted_lists(docs: DataFrame, frequent: pa.Table, least: int) -> DataFrame:
-    """Rows (shingle, part, parts, id, n, low): the first shingles of each set of ``least`` or more.
+    """Rows (shingle, part, id, n, k): the first shingles of each set of ``least`` or more.
 
     Shingles known to be frequent come last in a set's order. Their lists are dealt into
-    parts, by how frequent they are; ``low`` is the lowest member of a part. Lists with one
-    member are left out.
+    parts, by how frequent they are. Lists with one member are left out. ``k`` is how many of
+    its rows a set shares with every linked set.
     """
     keys = frequent["shingle"].to_numpy().view(np.uint64)
     held = docs.sparkSession.sparkContext.broadcast(SortedHashes(keys, frequent["c"].to_numpy()))
@@ -183,7 +196,7 @@ def inverted_lists(docs: DataFrame, frequent: pa.Table, least: int) -> DataFrame
         known = held.value
         seen: set[int] = set()
         for batch in batches:
-            firsts, counts, ids, sizes = [], [], [], []
+            firsts, counts, ids, sizes, shared = [], [], [], [], []
             for own in shingle_sets(batch.column("text")):
                 name = int(set_id(own))
                 if len(own) < least or name in seen:
@@ -199,6 +212,7 @@ def inverted_lists(docs: DataFrame, frequent: pa.Table, least: int) -> DataFrame
                 counts.append(often[:k])
                 ids.append(np.full(k, name))
                 sizes.append(np.full(k, len(own)))
+                shared.append(np.full(k, least_shared(len(own))))
             if not firsts:
                 continue
             ids, often = np.concatenate(ids), np.concatenate(counts)
@@ -211,20 +225,57 @@ def inverted_lists(docs: DataFrame, frequent: pa.Table, least: int) -> DataFrame
                     pa.array(parts.astype(np.int32)),
                     pa.array(ids),
                     pa.array(np.concatenate(sizes).astype(np.int32)),
+                    pa.array(np.concatenate(shared).astype(np.int32)),
                 ],
-                ["shingle", "part", "parts", "id", "n"],
+                ["shingle", "part", "parts", "id", "n", "k"],
             )
 
-    rows = docs.select("text").mapInArrow(list_first, "shingle long, part int, parts int, id long, n int")
+    rows = docs.select("text").mapInArrow(list_first, "shingle long, part int, parts int, id long, n int, k int")
     together = Window.partitionBy("shingle", "part")
     rows = rows.select("*", F.min("id").over(together).alias("low"), F.max("id").over(together).alias("high"))
-    return rows.filter("low <> high OR parts > 1").drop("high").distinct()
+    return rows.filter("low <> high OR parts > 1").drop("low", "high").distinct()
+
+
+def able_to_link(lists: DataFrame) -> DataFrame:
+    """Ids of the sets with as many shared first shingles as any link of theirs needs."""
+    counted = lists.groupBy("id").agg(F.count(F.lit(1)).alias("q"), F.first("k").alias("k"))
+    return counted.filter("q >= k").select("id")
+
+
+def ordered_lists(sets: DataFrame) -> DataFrame:
+    """Rows (shingle, id, n, place, own) of whole sets, each set's rarest shingles first.
+
+    ``place`` counts from 0, and ``own`` is how many shingles no other set has. Kept are
+    shared shingles among a set's first ones: linked sets have one there in common.
+    """
+
+    def spread(batches):
+        for batch in batches:
+            for name, shingles in zip(batch.column("id").to_pylist(), batch.column("shingles").to_pylist(), strict=True):
+                own = np.frombuffer(shingles, np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(own), pa.array(np.full(len(own), name)), pa.array(np.full(len(own), len(own), np.int32))],
+                    ["shingle", "id", "n"],
+                )
+
+    rows = sets.select("id", "shingles").mapInArrow(spread, "shingle long, id long, n int")
+    lengths = rows.groupBy(F.col("shingle").alias("of")).agg(F.count(F.lit(1)).alias("length"))
+    # A set's rows are as many as it has shingles.
+    of_set = Window.partitionBy("id")
+    ranked = rows.join(lengths, F.col("shingle") == F.col("of")).select(
+        "shingle",
+        "id",
+        "n",
+        "length",
+        (F.row_number().over(of_set.orderBy("length", "shingle")) - 1).alias("place"),
+        F.count_if(F.col("length") == 1).over(of_set).alias("own"),
+    )
+    return ranked.filter("length > 1 AND place <= n - ceil(3 * n / 4)").drop("length")
 
 
-def _enough_shared() -> Column:
-    """Linked sets of sizes n and m share at least so many of their first shingles."""
-    need = F.ceil((F.col("n") + F.col("m")) * 3 / 7) - F.ceil(F.greatest("n", "m") * 3 / 4) + 1
-    return (F.col("shared") >= need) & (F.expr("4 * least(n, m) >= 3 * greatest(n, m)"))
+#: Two sets of sizes n and m can link, and this may be the first shingle they have in common.
+EARLY = """4 * least(n, m) >= 3 * greatest(n, m)
+    AND place <= n - ceil(3 * (n + m) / 7) AND place_v <= m - ceil(3 * (n + m) / 7)"""
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -248,9 +299,8 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.select("u", "v", "a", "b").mapInArrow(check, "u long, v long")
 
 
-def sets_of(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Rows (id, shingles) of the classes that pairs (u, v) name, from one document of each."""
-    wanted = pairs.select(F.col("u").alias("id")).union(pairs.select("v")).distinct()
+def sets_of(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows (id, shingles) of the classes in ``wanted`` (id), from one document of each."""
     named = classes.join(wanted, "id").select(F.col("first_doc").alias("doc_id"))
 
     def build(batches):
@@ -265,41 +315,36 @@ def sets_of(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
     return texts.mapInArrow(build, "id long, shingles binary").join(wanted, "id", "left_semi").dropDuplicates(["id"])
 
 
-def heavy_edges(docs: DataFrame, classes: DataFrame, lists: DataFrame, edges: DataFrame) -> DataFrame:
-    """Links (u, v) beside ``edges`` that connect all linked sets with one heavy set at least."""
-    # A part's lowest member stands for it, and the lowest of those for the parts of a list.
-    dealt = lists.filter("parts > 1").select("shingle", "low").distinct()
-    whole = dealt.groupBy(F.col("shingle").alias("of_shingle")).agg(F.min("low").alias("v"))
-    across = dealt.join(whole, F.col("shingle") == F.col("of_shingle")).select(F.col("low").alias("u"), "v")
-    starred = lists.select(F.col("id").alias("u"), F.col("low").alias("v")).union(across).filter("u <> v")
-    shared = starred.groupBy("u", "v").agg(F.count(F.lit(1)).alias("shared"))
-    sizes = classes.select("id", "n")
-    shared = (
-        shared.join(sizes.withColumnRenamed("id", "u"), "u")
-        .join(sizes.select(F.col("id").alias("v"), F.col("n").alias("m")), "v")
-        # What is left out here, such as sets that only share a passage, is paired below.
-        .filter("4 * least(n, m) >= 3 * greatest(n, m) AND 20 * shared >= least(n, m)")
-        .groupBy("u")
-        .agg(F.max_by("v", "shared").alias("v"))
+def heavy_edges(sets: DataFrame, edges: DataFrame) -> DataFrame:
+    """Links (u, v) that, with ``edges``, connect all linked sets of ``sets`` (id, shingles)."""
+    lists = materialise(ordered_lists(sets), "ordered")
+    # The set with the fewest shingles of its own is likely to link with most of its lists.
+    hubs = lists.groupBy(F.col("shingle").alias("of")).agg(F.min(F.struct("own", "id", "n", "place")).alias("hub"))
+    starred = lists.join(hubs, F.col("shingle") == F.col("of")).select(
+        F.col("id").alias("u"),
+        "n",
+        "place",
+        F.col("hub.id").alias("v"),
+        F.col("hub.n").alias("m"),
+        F.col("hub.place").alias("place_v"),
     )
-    first = materialise(shared, "pairs")
-    stars = materialise(verified(first, sets_of(docs, classes, first)), "edges")
-    edges = edges.unionByName(stars)
+    met = starred.filter("u <> v").filter(EARLY).groupBy("u", "v").agg(F.count(F.lit(1)).alias("times"))
+    first = materialise(met.groupBy("u").agg(F.max_by("v", "times").alias("v")), "pairs")
+    edges = edges.unionByName(materialise(verified(first, sets), "edges"))
     joined = lists.join(components(edges).withColumnRenamed("node", "id"), "id", "left")
-    joined = joined.select("shingle", "id", "n", F.coalesce("component", "id").alias("component"))
+    joined = joined.select("shingle", "id", "n", "place", F.coalesce("component", "id").alias("component"))
     open_lists = joined.groupBy("shingle").agg(F.min("component").alias("a"), F.max("component").alias("b"))
     joined = materialise(joined.join(open_lists.filter("a <> b").select("shingle"), "shingle", "left_semi"), "lists")
-    other = joined.select("shingle", F.col("id").alias("v"), F.col("n").alias("m"), F.col("component").alias("component_v"))
-    pairs = (
-        joined.withColumnRenamed("id", "u")
-        .join(other, "shingle")
-        .filter("component < component_v AND 4 * least(n, m) >= 3 * greatest(n, m)")
-        .groupBy("u", "v", "n", "m")
-        .agg(F.count(F.lit(1)).alias("shared"))
-        .filter(_enough_shared())
+    other = joined.select(
+        "shingle",
+        F.col("id").alias("v"),
+        F.col("n").alias("m"),
+        F.col("place").alias("place_v"),
+        F.col("component").alias("component_v"),
     )
-    pairs = materialise(pairs.select("u", "v"), "pairs")
-    return edges.unionByName(verified(pairs, sets_of(docs, classes, pairs)))
+    pairs = joined.withColumnRenamed("id", "u").join(other, "shingle").filter("component < component_v").filter(EARLY)
+    pairs = materialise(pairs.select("u", "v").distinct(), "pairs")
+    return edges.unionByName(verified(pairs, sets))
 
 
 def similar_groups(docs: DataFrame) -> DataFrame:
@@ -335,7 +380,8 @@ def similar_groups(docs: DataFrame) -> DataFrame:
     edges = materialise(light_edges(classes, most), "edges")
     # A heavy set's smallest partner may be light.
     lists = materialise(inverted_lists(docs, frequent, math.ceil(NEED_B * (most + 1) / NEED_A)), "lists")
-    found = components(heavy_edges(docs, classes, lists, edges))
+    sets = materialise(sets_of(docs, classes, able_to_link(lists)), "sets")
+    found = components(heavy_edges(sets, edges))
     named = classes.select("id", "first_doc").join(found.withColumnRenamed("node", "id"), "id", "left")
     named = named.withColumn("component", F.coalesce("component", "id"))
     lowest = named.groupBy(F.col("component").alias("of")).agg(F.min("first_doc").alias("component_id"))
