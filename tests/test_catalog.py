@@ -67,3 +67,11 @@ def test_driver_contract(spark):
     queries, sql = driver.queries(), driver.oracle_sql()
     assert set(sql) <= set(queries)
     assert result.columns[:4] == ["watch_year", "watch_month", "country", "subscription_plan"]
+
+
+@pytest.mark.parametrize(
+    "name", ["content_performance", "genre_performance", "monthly_engagement", "genre_trend"]
+)
+def test_distinct_counts_do_not_expand_rows(spark, name):
+    plan = CATALOG[name].run(spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Expand" not in plan

@@ -120,19 +120,24 @@ def test_ratings_are_recovered(spark):
     ratings = spark.createDataFrame(rows, "user_id INT, movie_id INT, user_rating DOUBLE")
     unseen = spark.createDataFrame([(u, m) for u in range(30) for m in range(20)] + [(99, 1)], "user_id INT, movie_id INT")
     found = models.predicted_ratings(models.rating_model(ratings, rank=3), unseen).collect()
-    assert len(found) == 600
-    assert all(abs(r["predicted_rating"] - taste[r["user_id"]]) < 1 for r in found)
+    assert len(found) == 601
+    assert [r["predicted_rating"] for r in found if r["user_id"] == 99] == [None]
+    assert all(abs(r["predicted_rating"] - taste[r["user_id"]]) < 1 for r in found if r["user_id"] < 99)
 
 
 def test_search_terms_weigh_rare_words(spark):
     queries = ["space drama", "space comedy", "space space documentary!", "Space", "", "  "]
     df = spark.createDataFrame(list(enumerate(queries)), "id INT, query STRING")
-    found = models.search_terms(df)
-    assert found.columns == ["id", "query", "term_weights"]
-    weights = {
-        r["id"]: sorted(r["w"])
-        for r in found.select("id", F.filter(vector_to_array("term_weights"), lambda w: w > 0).alias("w")).collect()
+    found = models.search_terms(df, ["id"])
+    assert found.columns == ["id", "term", "uses", "weight"]
+    weights = {(r["id"], r["term"], r["uses"]): r["weight"] for r in found.collect()}
+    rare, common = math.log(7 / 2), math.log(7 / 5)
+    assert weights == {
+        (0, "space", 1): pytest.approx(common),
+        (0, "drama", 1): pytest.approx(rare),
+        (1, "space", 1): pytest.approx(common),
+        (1, "comedy", 1): pytest.approx(rare),
+        (2, "space", 2): pytest.approx(2 * common),
+        (2, "documentary", 1): pytest.approx(rare),
+        (3, "space", 1): pytest.approx(common),
     }
-    rare = math.log(5 / 2)
-    # "space" is in every query and weighs nothing.
-    assert weights == {0: [pytest.approx(rare)], 1: [pytest.approx(rare)], 2: [pytest.approx(rare)], 3: []}

@@ -118,7 +118,7 @@ def test_topic_options():
         "kafka.bootstrap.servers": "b:9092",
         "subscribe": "t",
         "startingOffsets": "earliest",
-        "failOnDataLoss": "false",
+        "failOnDataLoss": "true",
     }
     limited = events.topic_options("b", "t", max_offsets=10, min_partitions=30)
     assert (limited["maxOffsetsPerTrigger"], limited["minPartitions"]) == ("10", "30")

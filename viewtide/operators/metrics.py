@@ -8,7 +8,7 @@ to write them in.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from viewtide.functions.eventtime import month_index
@@ -29,48 +29,86 @@ PRESENTATION_ORDER = {
 }
 
 
-def _views():
-    return F.count(F.lit(1))
+def _reach(sessions: DataFrame, keys: list[str], sums: dict[str, Column]) -> DataFrame:
+    """Per group: views, the sums, and the distinct users and items.
+
+    Two distinct counts in one grouping triple every row. Here a session becomes one row
+    for its user, which carries the sums, and one for its item; they shrink to a row per
+    group and user or item before the shuffle, and counting those is a plain count.
+    """
+    sides = F.array(
+        F.struct(F.lit(True).alias("of_user"), F.col("user_id").alias("user"), F.lit(None).alias("item")),
+        F.struct(F.lit(False).alias("of_user"), F.lit(None).alias("user"), F.col("movie_id").alias("item")),
+    )
+    rows = sessions.select(*keys, *(c.alias(name) for name, c in sums.items()), F.inline(sides))
+    single = rows.groupBy(*keys, "of_user", "user", "item").agg(
+        F.count_if("of_user").alias("views"),
+        *(F.sum(F.when(F.col("of_user"), F.col(name))).alias(name) for name in sums),
+    )
+    return single.groupBy(*keys).agg(
+        F.sum("views").alias("views"),
+        *(F.sum(name).alias(name) for name in sums),
+        F.count("user").alias("users"),
+        F.count("item").alias("items"),
+    )
+
+
+def _present(name: str) -> Column:
+    return F.col(name).isNotNull().cast("long")
 
 
 def content_performance(sessions: DataFrame) -> DataFrame:
     """Ratings and reach per month and genre, over rated sessions only."""
-    return (
-        sessions.filter(~missing(sessions, "user_rating"))
-        .groupBy(*MONTH, "genre_primary")
-        .agg(
-            F.avg("user_rating").alias("avg_rating"),
-            _views().alias("total_views"),
-            F.sum(WATCHED).alias("total_watch_time_minutes"),
-            F.count_distinct("movie_id").alias("unique_movies"),
-            F.count_distinct("user_id").alias("unique_users"),
-        )
+    rated = sessions.filter(~missing(sessions, "user_rating"))
+    keys = [*MONTH, "genre_primary"]
+    reach = _reach(rated, keys, {"ratings": F.col("user_rating"), "watched": F.col(WATCHED)})
+    return reach.select(
+        *keys,
+        (F.col("ratings") / F.col("views")).alias("avg_rating"),
+        F.col("views").alias("total_views"),
+        F.col("watched").alias("total_watch_time_minutes"),
+        F.col("items").alias("unique_movies"),
+        F.col("users").alias("unique_users"),
     )
 
 
 def genre_performance(sessions: DataFrame) -> DataFrame:
     """Views, time and reach per genre; unrated sessions count too."""
-    return sessions.groupBy("genre_primary").agg(
-        _views().alias("total_views"),
-        F.sum(WATCHED).alias("total_watch_time_minutes"),
-        F.avg(WATCHED).alias("avg_watch_duration"),
-        F.count_distinct("movie_id").alias("unique_movies"),
-        F.count_distinct("user_id").alias("unique_users"),
-        F.avg("user_rating").alias("avg_rating"),
+    sums = {
+        "watched": F.col(WATCHED),
+        "watches": _present(WATCHED),
+        "ratings": F.col("user_rating"),
+        "rated": _present("user_rating"),
+    }
+    return _reach(sessions, ["genre_primary"], sums).select(
+        "genre_primary",
+        F.col("views").alias("total_views"),
+        F.col("watched").alias("total_watch_time_minutes"),
+        F.try_divide("watched", "watches").alias("avg_watch_duration"),
+        F.col("items").alias("unique_movies"),
+        F.col("users").alias("unique_users"),
+        F.try_divide("ratings", "rated").alias("avg_rating"),
     )
 
 
 def monthly_engagement(sessions: DataFrame) -> DataFrame:
     """Watch time, users and sessions per month, country and plan."""
-    return sessions.groupBy(*MONTH, "country", "subscription_plan").agg(
-        F.sum(WATCHED).alias("total_watch_time_minutes"),
-        F.count_distinct("user_id").alias("monthly_active_users"),
-        _views().alias("total_sessions"),
-        F.avg(WATCHED).alias("avg_session_duration"),
-        F.count_distinct("movie_id").alias("unique_content_viewed"),
+    keys = [*MONTH, "country", "subscription_plan"]
+    sums = {"watched": F.col(WATCHED), "watches": _present(WATCHED)}
+    return _reach(sessions, keys, sums).select(
+        *keys,
+        F.col("watched").alias("total_watch_time_minutes"),
+        F.col("users").alias("monthly_active_users"),
+        F.col("views").alias("total_sessions"),
+        F.try_divide("watched", "watches").alias("avg_session_duration"),
+        F.col("items").alias("unique_content_viewed"),
     )
 
 
+def _views():
+    return F.count(F.lit(1))
+
+
 def user_months(sessions: DataFrame) -> DataFrame:
     """One row per user, month, country and plan: the rollup behind user metrics.
 
@@ -214,12 +252,14 @@ def skip_rate_trend(sessions: DataFrame, skipped_below: float = LOW_ENGAGEMENT_B
 
 def genre_trend(sessions: DataFrame) -> DataFrame:
     """Genre performance per month; unrated sessions count too."""
-    return sessions.groupBy(*MONTH, "genre_primary").agg(
-        _views().alias("total_views"),
-        F.sum(WATCHED).alias("total_watch_time_minutes"),
-        F.avg(WATCHED).alias("avg_watch_duration"),
-        F.count_distinct("movie_id").alias("unique_movies"),
-        F.count_distinct("user_id").alias("unique_users"),
+    keys = [*MONTH, "genre_primary"]
+    return _reach(sessions, keys, {"watched": F.col(WATCHED), "watches": _present(WATCHED)}).select(
+        *keys,
+        F.col("views").alias("total_views"),
+        F.col("watched").alias("total_watch_time_minutes"),
+        F.try_divide("watched", "watches").alias("avg_watch_duration"),
+        F.col("items").alias("unique_movies"),
+        F.col("users").alias("unique_users"),
     )
 
 

@@ -7,14 +7,7 @@ from collections.abc import Sequence
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import (
-    IDF,
-    HashingTF,
-    StandardScaler,
-    StringIndexer,
-    Tokenizer,
-    VectorAssembler,
-)
+from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
@@ -52,20 +45,26 @@ def churn_model(
     categories: Sequence[str] = CHURN_CATEGORIES,
     label: str = "churned",
     forest: bool = False,
+    trees: int = 20,
+    bins: int = 32,
 ) -> PipelineModel:
     """Logistic regression or a random forest over user features.
 
-    Categories must be few: their distinct values are indexed on the driver.
+    Each value of a category is an input of its own, so no order is read into them.
+    Categories must be few: their distinct values are indexed on the driver. ``trees``
+    and ``bins`` shape a forest.
     """
     indexed = [f"{c}_index" for c in categories]
+    encoded = [f"{c}_value" for c in categories]
     stages = []
     if categories:
-        stages.append(
-            StringIndexer(inputCols=list(categories), outputCols=indexed, handleInvalid="keep")
-        )
-    stages += _scaled([*numbers, *indexed])
+        stages += [
+            StringIndexer(inputCols=list(categories), outputCols=indexed, handleInvalid="keep"),
+            OneHotEncoder(inputCols=indexed, outputCols=encoded),
+        ]
+    stages += _scaled([*numbers, *encoded])
     if forest:
-        stages.append(RandomForestClassifier(labelCol=label, numTrees=20, seed=42, maxBins=256))
+        stages.append(RandomForestClassifier(labelCol=label, numTrees=trees, seed=42, maxBins=bins))
     else:
         stages.append(LogisticRegression(labelCol=label, regParam=0.01))
     return Pipeline(stages=stages).fit(features)
@@ -92,31 +91,34 @@ def rating_model(ratings: DataFrame, rank: int = 10, iterations: int = 10) -> AL
         maxIter=iterations,
         regParam=0.1,
         checkpointInterval=5,
-        coldStartStrategy="drop",
+        coldStartStrategy="nan",
         seed=42,
     )
     return als.fit(ratings.filter("user_rating IS NOT NULL"))
 
 
 def predicted_ratings(model: ALSModel, pairs: DataFrame) -> DataFrame:
-    """Predictions for given user and item pairs; unseen users or items drop out."""
-    return model.transform(pairs).withColumnRenamed("prediction", "predicted_rating")
+    """Predictions for given user and item pairs; NULL for unseen users or items."""
+    known = F.when(~F.isnan("prediction"), F.col("prediction"))
+    return model.transform(pairs).withColumn("predicted_rating", known).drop("prediction")
 
 
-def search_terms(
-    queries: DataFrame, text: str = "query", buckets: int = 1 << 18, min_queries: int = 1
-) -> DataFrame:
-    """TF-IDF weights of each query's words, as a sparse ``term_weights`` vector.
+def search_terms(queries: DataFrame, keys: Sequence[str], text: str = "query") -> DataFrame:
+    """Rows (*keys, ``term``, ``uses``, ``weight``): exact TF-IDF of every word of every query.
 
-    Words are hashed into a fixed number of buckets, so the weights that every
-    task needs have a fixed size however large the vocabulary grows.
+    Words are runs of letters and digits in lower case. The weight is the uses times
+    ``ln((n + 1) / (queries with the word + 1))`` with n all queries, wordless ones included;
+    such a query has no row here. Counting and weighing are groupings and a join on the word,
+    so no vocabulary is gathered, and words never share a weight.
     """
-    stages = [
-        Tokenizer(inputCol="__text", outputCol="__words"),
-        HashingTF(inputCol="__words", outputCol="__counts", numFeatures=buckets),
-        IDF(inputCol="__counts", outputCol="term_weights", minDocFreq=min_queries),
-    ]
-    cleaned = queries.withColumn("__text", F.trim(F.regexp_replace(text, r"[^\p{L}\p{N}]+", " ")))
-    cleaned = cleaned.filter(F.length("__text") > 0)
-    weighted = Pipeline(stages=stages).fit(cleaned).transform(cleaned)
-    return weighted.drop("__text", "__words", "__counts")
+    n = queries.select(*keys).distinct().count()
+    words = F.explode(F.split(F.lower(text), r"[^\p{L}\p{N}]+"))
+    uses = (
+        queries.select(*keys, words.alias("term"))
+        .filter("term <> ''")
+        .groupBy(*keys, "term")
+        .agg(F.count(F.lit(1)).alias("uses"))
+    )
+    known = uses.groupBy("term").agg(F.count(F.lit(1)).alias("queries"))
+    weight = F.col("uses") * F.log(F.lit(n + 1.0) / (F.col("queries") + 1))
+    return uses.join(known, "term").select(*keys, "term", "uses", weight.alias("weight"))

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import functions as F
-
 from viewtide.operators import features, models
 from viewtide.operators.star import review_ratings
 from viewtide.plans import domain
@@ -104,12 +101,21 @@ def predicted_ratings(spark, sf_dir):
     return models.predicted_ratings(models.rating_model(ratings), ratings)
 
 
-@query("search_terms")
+_TERMS = """
+    SELECT conv_id, turn, term, COUNT(*) AS uses FROM (
+        SELECT conv_id, turn, UNNEST(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+')) AS term
+        FROM conversations) t
+    WHERE term <> '' GROUP BY ALL"""
+
+
+@query(
+    "search_terms",
+    f"""WITH u AS ({_TERMS}), n AS (SELECT COUNT(*) + 1 AS n FROM (SELECT DISTINCT conv_id, turn FROM conversations) c),
+             k AS (SELECT term, COUNT(*) + 1 AS k FROM u GROUP BY term)
+        SELECT conv_id, turn, term, uses, {rounded('uses * ln((SELECT n FROM n) / k)', 6)} AS weight
+        FROM u JOIN k USING (term)""",
+)
 def search_terms(spark, sf_dir):
-    """The user turns of the conversations play the search queries."""
-    asked = domain.table(spark, sf_dir, "conversations").filter("role = 'user'")
-    queries = asked.select("conv_id", "turn", F.col("text").alias("query"))
-    weights = F.filter(vector_to_array("term_weights"), lambda w: w > 0)
-    return models.search_terms(queries, buckets=1 << 12).select(
-        "conv_id", "turn", F.size(weights).alias("terms"), F.array_max(weights).alias("top_weight")
-    )
+    """The turns of the conversations play the search queries: all of them, whoever speaks."""
+    turns = domain.table(spark, sf_dir, "conversations")
+    return rounding(models.search_terms(turns, ["conv_id", "turn"], "text"), "weight", scale=6)

@@ -38,9 +38,10 @@ USER_DEFAULTS = {"monthly_spend": 0.0, "age": 0, "gender": "Unknown"}
 def _dimension(
     table: DataFrame, key: str, columns: Sequence[str], defaults: Mapping | None = None
 ) -> DataFrame:
-    present = [c for c in columns if c in table.columns]
-    known = {k: v for k, v in (defaults or {}).items() if k in present}
-    return prepare_dimension(table, key, present, defaults=known, store=True)
+    absent = [c for c in columns if c not in table.columns]
+    if absent:
+        raise ValueError(f"the dimension of {key} lacks {', '.join(absent)}")
+    return prepare_dimension(table, key, columns, defaults=defaults or {}, store=True)
 
 
 def item_dimension(items: DataFrame) -> DataFrame:

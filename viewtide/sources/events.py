@@ -33,12 +33,13 @@ def topic_options(
     servers: str,
     topic: str,
     starting_offsets: str = "earliest",
-    fail_on_data_loss: bool = False,
+    fail_on_data_loss: bool = True,
     max_offsets: int | None = None,
     min_partitions: int | None = None,
 ) -> dict[str, str]:
     """Options of the Kafka source.
 
+    Offsets that the broker no longer has stop the query, unless told otherwise.
     ``min_partitions`` splits hot topic partitions over several tasks.
     """
     options = {
