@@ -39,7 +39,7 @@ DEPTH, BLOCK_BYTES = 5, 16 << 20
 #: Bytes of text whose grams are held as arrays at once.
 CHUNK = 1 << 20
 #: Counted keys that wait before they are added up.
-WAITING = 1 << 20
+WAITING = 1 << 19
 
 
 def _added_up(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -61,7 +61,7 @@ def _count_block(depth: int):
                 for chosen, weight in ((keys[learns], 1), (keys[~learns], 0)):
                     k, n = count_keys(chosen)
                     found[is_word].append((k, n * weight))
-                if sum(len(k) for k, _ in found[is_word]) > 2 * len(found[is_word][0][0]) + WAITING:
+                if sum(len(k) for k, _ in found[is_word]) > len(found[is_word][0][0]) + WAITING:
                     found[is_word] = [_added_up(found[is_word])]
         rows = []
         for is_word, parts in found.items():
@@ -179,6 +179,7 @@ def _score_block(depth: int):
         for is_word in (True, False):
             own = values.filter(pc.equal(values["is_word"], is_word))
             known[is_word] = SortedHashes(own["key"].to_numpy().view(np.uint64), own["value"].to_numpy())
+        del values, own
         data, offsets = flat(docs["text"])
         sums = []
         for start, stop in row_chunks(offsets, CHUNK):
