@@ -1,6 +1,8 @@
 import json
 
 import pytest
+
+import __spark_entry__ as driver
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -149,19 +151,35 @@ def test_sink_sorts_and_names_warehouse_tables(spark):
     assert TableSink("proj.set", "x", name_option="table").target("t") == "proj.set.t"
 
 
-def test_cluster_without_shared_dir_is_an_error():
-    class Context:
-        master = "spark://host:7077"
+class Context:
+    def __init__(self, master):
+        self.master, self.folder = master, None
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
 
-        def getCheckpointDir(self):
-            return None
 
-    class Session:
-        conf = {}
-        sparkContext = Context()
+class Session:
+    def __init__(self, master):
+        self.conf, self.sparkContext = {}, Context(master)
 
+
+@pytest.mark.parametrize("master", ["spark://host:7077", "local[4]"])
+def test_missing_shared_dir_is_an_error(master):
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        shared_dir(Session())
+        shared_dir(Session(master))
+
+
+@pytest.mark.parametrize(
+    "master, named", [("local", True), ("local[*]", True), ("local-cluster[2,1,1024]", False), ("yarn", False)]
+)
+def test_entry_names_a_folder_for_local_sessions_only(master, named):
+    session = Session(master)
+    driver._with_scratch(lambda spark, sf_dir: None)(session, "")
+    assert (session.sparkContext.folder is not None) == named
 
 
 def test_shared_dir_comes_from_the_session(spark):

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,17 +34,15 @@ def build_session(app: str = "viewtide", master: str | None = None, **conf) -> S
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
+    """The folder every executor can reach: ``spark.checkpoint.dir`` or ``setCheckpointDir``.
 
-    Only a local master may fall back to a temporary folder; on a cluster a
-    missing setting is an error, since a machine-local folder dies with its host.
+    A missing setting is an error: the library invents no folder, since a
+    machine-local one dies with its host.
     """
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="viewtide-")
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(root)
     return root.rstrip("/")
