@@ -167,11 +167,3 @@ def health(width: str, keys: str, where: str = "TRUE") -> str:
                {rounded('SUM(monthly_spend)', 2)} AS revenue_impact,
                {rounded('AVG(monthly_spend)', 2)} AS avg_subscriber_value
         FROM v_flags WHERE {where} GROUP BY ALL) h"""
-
-
-def closed(width: str, delay: str = "10 minutes") -> str:
-    """Condition that an event's window is complete at the final watermark."""
-    start = f"time_bucket(INTERVAL '{width}', event_time, TIMESTAMP '1970-01-01')"
-    return (
-        f"{start} + INTERVAL '{width}' <= (SELECT MAX(ts) FROM events) - INTERVAL '{delay}'"
-    )

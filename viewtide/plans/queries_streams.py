@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from uuid import uuid4
 
 from pyspark.sql import DataFrame
@@ -11,7 +12,7 @@ from viewtide.functions.signals import with_engagement_flags
 from viewtide.operators import metrics, snapshots, windowed
 from viewtide.plans import domain
 from viewtide.plans.catalog import query
-from viewtide.plans.oracle import buckets, closed, health, rounded, trending
+from viewtide.plans.oracle import buckets, health, rounded, trending
 from viewtide.plans.queries_batch import rounding
 from viewtide.plans.queries_events import (
     COARSE_KEYS,
@@ -22,9 +23,10 @@ from viewtide.plans.queries_events import (
 )
 from viewtide.session import scratch_path
 from viewtide.sinks.tables import TableSink
-from viewtide.streaming.enrich import WATERMARK_DELAY, enrich
+from viewtide.streaming.enrich import enrich
 from viewtide.streaming.queries import (
     StreamSettings,
+    append_to_end,
     finish,
     query_status,
     to_batches,
@@ -33,13 +35,14 @@ from viewtide.streaming.queries import (
 )
 
 
+#: Fixed for a checkpoint's life, so it is a plain setting; enough for the catalogue's tables.
+STATE_PARTITIONS = 8
+
+
 def once(spark) -> StreamSettings:
-    """Process what is available, with one state partition per core."""
-    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    """Process what is available."""
     return StreamSettings(
-        scratch_path(spark, "checkpoint"),
-        interval=None,
-        state_partitions=min(configured, spark.sparkContext.defaultParallelism),
+        scratch_path(spark, "checkpoint"), interval=None, state_partitions=STATE_PARTITIONS
     )
 
 
@@ -57,18 +60,36 @@ def appended(spark, stream: DataFrame) -> DataFrame:
     return plain_times(spark.read.schema(stream.schema).parquet(path))
 
 
+def windows_of(spark, sf_dir, build) -> DataFrame:
+    """Run a windowed aggregate of the events to its end and read it back."""
+    path = scratch_path(spark, "stream")
+    source = domain.event_stream(spark, sf_dir)
+    append_to_end(source, build, path, once(spark))
+    return plain_times(spark.read.schema(build(source).schema).parquet(path))
+
+
 def watched(spark, sf_dir) -> DataFrame:
     """The bare event stream with a watermark."""
     return enrich(domain.event_stream(spark, sf_dir))
 
 
+def enriching(spark, sf_dir):
+    """Enrichment with stored dimensions: no micro-batch dedupes them again."""
+    users, items = (make(spark, sf_dir, store=True) for make in (user_dimension, item_dimension))
+    return lambda events: enrich(events, users, items)
+
+
 def enriched_stream(spark, sf_dir) -> DataFrame:
-    """Stored dimensions: no micro-batch dedupes them again."""
-    return enrich(
-        domain.event_stream(spark, sf_dir),
-        user_dimension(spark, sf_dir, store=True),
-        item_dimension(spark, sf_dir, store=True),
-    )
+    return enriching(spark, sf_dir)(domain.event_stream(spark, sf_dir))
+
+
+def near_exact(result: DataFrame, exact: DataFrame, keys: list[str], count: str) -> DataFrame:
+    """Replace an approximate count by whether it is within a tenth, and one, of the exact one."""
+    named = exact.select(*(F.col(k).alias(f"_{k}") for k in keys), F.col(count).alias("_exact"))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    close = F.abs(F.col(count) - F.col("_exact")) <= F.col("_exact") / 10 + 1
+    joined = result.join(named, same, "left").withColumn(f"{count}_close", F.coalesce(close, F.lit(False)))
+    return joined.select(*(c for c in result.columns if c != count), f"{count}_close")
 
 
 def titled(spark, sf_dir, trending_items: DataFrame) -> DataFrame:
@@ -93,62 +114,86 @@ def stream_static_join(spark, sf_dir):
     return appended(spark, stream)
 
 
-@query("stream_trending_content", trending("5 minutes", closed("5 minutes")))
+@query("stream_trending_content", trending("5 minutes"))
 def stream_trending_content(spark, sf_dir):
-    """Append mode: windows the watermark has closed, with exact viewers."""
-    partials = appended(spark, windowed.trending_by_user(watched(spark, sf_dir)))
+    """Append mode to the end of the events, with exact viewers."""
+    partials = windows_of(spark, sf_dir, lambda events: windowed.trending_by_user(enrich(events)))
     return shown_trending(titled(spark, sf_dir, windowed.trending_from_users(partials)))
 
 
 @query(
     "stream_trending_approx",
-    f"SELECT * EXCLUDE (unique_viewers) FROM ({trending('1 hour', closed('1 hour'))}) t",
+    f"""SELECT * EXCLUDE (unique_viewers), TRUE AS unique_viewers_close
+        FROM ({trending('1 hour')}) t""",
 )
 def stream_trending_approx(spark, sf_dir):
-    """One streaming aggregate; its viewer count is a sketch, so it is not compared."""
-    counted = windowed.trending_approx(watched(spark, sf_dir), "1 hour")
-    return shown_trending(appended(spark, titled(spark, sf_dir, counted))).drop("unique_viewers")
+    """One streaming aggregate; its viewer count is a sketch, compared within a tenth."""
+    items = item_dimension(spark, sf_dir, store=True)
+
+    def build(events: DataFrame) -> DataFrame:
+        return windowed.with_item_attributes(windowed.trending_approx(enrich(events), "1 hour"), items)
+
+    exact = windowed.trending_from_users(
+        windowed.trending_by_user(domain.events(spark, sf_dir), "1 hour")
+    )
+    counted = shown_trending(windows_of(spark, sf_dir, build))
+    return near_exact(counted, exact, ["window_start", "movie_id"], "unique_viewers")
 
 
 @query(
     "stream_engagement_health",
-    health("1 hour", ", ".join(windowed.HEALTH_KEYS), closed("1 hour")),
+    health("1 hour", ", ".join(windowed.HEALTH_KEYS)),
 )
 def stream_engagement_health(spark, sf_dir):
-    flagged = with_engagement_flags(enriched_stream(spark, sf_dir))
-    partials = appended(spark, windowed.health_by_user(flagged, "1 hour"))
-    return windowed.health_from_users(partials)
+    enriched = enriching(spark, sf_dir)
+
+    def build(events: DataFrame) -> DataFrame:
+        return windowed.health_by_user(with_engagement_flags(enriched(events)), "1 hour")
+
+    return windowed.health_from_users(windows_of(spark, sf_dir, build))
 
 
 @query(
     "stream_engagement_health_approx",
-    f"""SELECT * EXCLUDE (unique_users)
-        FROM ({health('1 day', ', '.join(COARSE_KEYS), closed('1 day'))}) t""",
+    f"""SELECT * EXCLUDE (unique_users), TRUE AS unique_users_close
+        FROM ({health('1 day', ', '.join(COARSE_KEYS))}) t""",
 )
 def stream_engagement_health_approx(spark, sf_dir):
-    flagged = with_engagement_flags(enriched_stream(spark, sf_dir))
-    result = appended(spark, windowed.health_approx(flagged, "1 day", COARSE_KEYS))
-    return result.drop("unique_users")
+    """The user count is a sketch, compared within a tenth."""
+    enriched = enriching(spark, sf_dir)
+
+    def build(events: DataFrame) -> DataFrame:
+        return windowed.health_approx(with_engagement_flags(enriched(events)), "1 day", COARSE_KEYS)
+
+    flagged = with_engagement_flags(enrich(domain.events(spark, sf_dir), *(
+        make(spark, sf_dir) for make in (user_dimension, item_dimension)), watermark=None))
+    exact = windowed.health_from_users(
+        windowed.health_by_user(flagged, "1 day", COARSE_KEYS), COARSE_KEYS
+    )
+    counted = windows_of(spark, sf_dir, build)
+    return near_exact(counted, exact, ["window_start", *COARSE_KEYS], "unique_users")
 
 
 @query(
     "stream_append",
     f"""SELECT {buckets('5 minutes')}, COUNT(watch_duration_minutes) AS sessions,
                {rounded('AVG(watch_duration_minutes)')} AS avg_session_duration
-        FROM v_events WHERE {closed('5 minutes')} GROUP BY ALL""",
+        FROM v_events GROUP BY ALL""",
 )
 def stream_append(spark, sf_dir):
-    stream = windowed.avg_session_duration(watched(spark, sf_dir), "5 minutes")
-    return rounding(appended(spark, stream), "avg_session_duration")
+    result = windows_of(
+        spark, sf_dir, lambda events: windowed.avg_session_duration(enrich(events), "5 minutes")
+    )
+    return rounding(result, "avg_session_duration")
 
 
 @query(
     "stream_active_users_per_minute",
     f"""SELECT {buckets('1 minute')}, COUNT(DISTINCT user_id) AS active_users
-        FROM v_events WHERE {closed('1 minute')} GROUP BY ALL""",
+        FROM v_events GROUP BY ALL""",
 )
 def stream_active_users_per_minute(spark, sf_dir):
-    activity = appended(spark, windowed.user_activity(watched(spark, sf_dir)))
+    activity = windows_of(spark, sf_dir, lambda events: windowed.user_activity(enrich(events)))
     return windowed.active_users_from_activity(activity)
 
 
@@ -157,10 +202,10 @@ def stream_active_users_per_minute(spark, sf_dir):
     f"""SELECT *, {rounded('event_count / SUM(event_count) OVER (PARTITION BY window_start)', 6)}
                     AS share
         FROM (SELECT {buckets('1 hour', 'action')}, COUNT(*) AS event_count
-              FROM v_events WHERE {closed('1 hour')} GROUP BY ALL) c""",
+              FROM v_events GROUP BY ALL) c""",
 )
 def stream_event_type_distribution(spark, sf_dir):
-    counts = appended(spark, windowed.event_type_counts(watched(spark, sf_dir)))
+    counts = windows_of(spark, sf_dir, lambda events: windowed.event_type_counts(enrich(events)))
     return rounding(windowed.with_share(counts), "share", scale=6)
 
 

@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
+from datetime import datetime, timedelta
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
+from pyspark.sql.types import StructField, StructType
 
 TRIGGER_INTERVAL = "10 seconds"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -99,6 +101,44 @@ def to_files(
     return _start(writer, df.sparkSession, settings)
 
 
+def append_to_end(
+    source: DataFrame,
+    build: Callable[[DataFrame], DataFrame],
+    path: str,
+    settings: StreamSettings,
+    time: str = "event_time",
+    ahead: timedelta = timedelta(days=366),
+) -> None:
+    """Run a bounded event stream into files, its last windows included.
+
+    Append mode emits a window when later events move the watermark past it, so the end of
+    a bounded source would stay in state. The stream therefore reads a second folder beside
+    ``source``. When all events are through, one mark is put there: a row with nothing but a
+    time far ahead. A second run from the same checkpoint reads it and closes every window
+    of the events; the mark's own window stays open and is never written. ``build`` makes
+    the windowed aggregate from the events; ``settings`` must not keep a trigger interval.
+    """
+    if settings.interval:
+        raise ValueError("a run to the end processes what is available: set interval=None")
+    spark = source.sparkSession
+    # A mark leaves every column but its time empty.
+    schema = StructType([StructField(f.name, f.dataType) for f in source.schema])
+    marks = f"{settings.checkpoint}-marks"
+    spark.createDataFrame([], schema).write.parquet(marks)
+
+    def run() -> StreamingQuery:
+        marked = source.unionByName(spark.readStream.schema(schema).parquet(marks))
+        return finish(to_files(build(marked), path, settings))
+
+    latest = [p["eventTime"].get("max") for p in run().recentProgress]
+    if not any(latest):
+        return
+    end = datetime.fromisoformat(max(filter(None, latest)).replace("Z", "+00:00"))
+    row = {name: None for name in schema.fieldNames()} | {time: end + ahead}
+    spark.createDataFrame([tuple(row.values())], schema).write.mode("append").parquet(marks)
+    run()
+
+
 Target = Callable[[DataFrame, int], None]
 
 
