@@ -132,6 +132,8 @@ def tokenized_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPAC
                 pa.array(crc, pa.int64()),
             ] + [pa.array(ids, pa.binary())] * keep_ids
             yield pa.RecordBatch.from_arrays(made, ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * keep_ids)
+        # The worker may go on to other work, and should not hold the words meanwhile.
+        encode.ids.clear()
 
     return docs.mapInArrow(pieces, schema)
 
