@@ -61,6 +61,14 @@ def row_chunks(offsets: np.ndarray, most: int):
         start = stop
 
 
+def smaller_batches(batches, most: int, column: str = "text"):
+    """The same rows in batches of at most ``most`` bytes of text, one row at least."""
+    for batch in batches:
+        _, offsets = flat(batch.column(column))
+        for start, stop in row_chunks(offsets, most):
+            yield batch.slice(start, stop - start)
+
+
 def sum_by_key(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys in order, and the sum of values of each."""
     if not len(keys):

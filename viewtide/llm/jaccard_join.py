@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from viewtide.llm.common import LOWER, SortedHashes, Words, count_keys, flat, mix, row_chunks, whole_text, word_windows
+from viewtide.llm.common import LOWER, SortedHashes, Words, count_keys, flat, mix, row_chunks, smaller_batches, whole_text, word_windows
 from viewtide.llm.components import components
 from viewtide.session import materialise
 
@@ -39,7 +39,8 @@ MOST_LIGHT, ENTRY_COST, VERIFY_COST = 14, 2.0, 8.0
 MOST_FREQUENT, FREQUENT = 1 << 18, 8
 #: Members of a list that share a representative.
 LIST_PART = 4096
-CHUNK = 1 << 20
+#: Bytes of text whose words are arrays at once, and whose sets are.
+CHUNK, BATCH = 1 << 20, 4 << 20
 
 
 def overlap(a, b):
@@ -96,7 +97,7 @@ def signatures(docs: DataFrame) -> DataFrame:
 
     def sign(batches):
         seen: set[int] = set()
-        for batch in batches:
+        for batch in smaller_batches(batches, BATCH):
             ids, sizes, light, fresh = [], [], [], []
             for own in shingle_sets(batch.column("text")):
                 name = int(set_id(own))
@@ -195,7 +196,7 @@ def inverted_lists(docs: DataFrame, frequent: pa.Table, least: int) -> DataFrame
     def list_first(batches):
         known = held.value
         seen: set[int] = set()
-        for batch in batches:
+        for batch in smaller_batches(batches, BATCH):
             firsts, counts, ids, sizes, shared = [], [], [], [], []
             for own in shingle_sets(batch.column("text")):
                 name = int(set_id(own))
@@ -250,13 +251,17 @@ def ordered_lists(sets: DataFrame) -> DataFrame:
     """
 
     def spread(batches):
-        for batch in batches:
-            for name, shingles in zip(batch.column("id").to_pylist(), batch.column("shingles").to_pylist(), strict=True):
-                own = np.frombuffer(shingles, np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(own), pa.array(np.full(len(own), name)), pa.array(np.full(len(own), len(own), np.int32))],
-                    ["shingle", "id", "n"],
-                )
+        for batch in smaller_batches(batches, BATCH, "shingles"):
+            own = [np.frombuffer(x, np.int64) for x in batch.column("shingles").to_pylist()]
+            sizes = np.array([len(x) for x in own], np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.concatenate(own)),
+                    pa.array(np.repeat(batch.column("id").to_numpy(), sizes)),
+                    pa.array(np.repeat(sizes, sizes)),
+                ],
+                ["shingle", "id", "n"],
+            )
 
     rows = sets.select("id", "shingles").mapInArrow(spread, "shingle long, id long, n int")
     lengths = rows.groupBy(F.col("shingle").alias("of")).agg(F.count(F.lit(1)).alias("length"))
@@ -282,7 +287,7 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (u, v) that link, by their whole sets."""
 
     def check(batches):
-        for batch in batches:
+        for batch in smaller_batches(batches, BATCH, "a"):
             good = []
             for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True):
                 one, two = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
@@ -304,7 +309,7 @@ def sets_of(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame
     named = classes.join(wanted, "id").select(F.col("first_doc").alias("doc_id"))
 
     def build(batches):
-        for batch in batches:
+        for batch in smaller_batches(batches, BATCH):
             built = [(int(set_id(own)), own.tobytes()) for own in shingle_sets(batch.column("text"))]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([x for x, _ in built], pa.int64()), pa.array([x for _, x in built], pa.binary())],
