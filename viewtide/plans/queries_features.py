@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from viewtide.operators import features, models
 from viewtide.operators.star import review_ratings
 from viewtide.plans import domain
@@ -45,9 +47,7 @@ def rfm_scores(spark, sf_dir):
 _CUTOFF = "(SELECT MAX(watch_date) - INTERVAL 90 DAY FROM v_watch)"
 
 
-@query(
-    "churn_features",
-    f"""SELECT w.user_id, u.country, u.subscription_plan,
+_CHURN = f"""SELECT w.user_id, u.country, u.subscription_plan,
                COALESCE(u.monthly_spend, 0) AS monthly_spend, w.* EXCLUDE (user_id)
         FROM (SELECT user_id, COUNT(*) FILTER (WHERE known) AS sessions,
                      {rounded("COALESCE(SUM(watch_duration_minutes) FILTER (WHERE known), 0)")}
@@ -62,8 +62,10 @@ _CUTOFF = "(SELECT MAX(watch_date) - INTERVAL 90 DAY FROM v_watch)"
                           THEN 1 ELSE 0 END AS INTEGER) AS churned
               FROM (SELECT *, {_CUTOFF} AS cutoff, watch_date < {_CUTOFF} AS known FROM v_watch) x
               GROUP BY user_id) w
-        JOIN v_users u ON w.user_id = u.user_id WHERE sessions > 0""",
-)
+        JOIN v_users u ON w.user_id = u.user_id WHERE sessions > 0"""
+
+
+@query("churn_features", _CHURN)
 def churn_features(spark, sf_dir):
     table = features.churn_features(domain.watch(spark, sf_dir), domain.users(spark, sf_dir))
     return rounding(table, "watch_minutes", "avg_progress")
@@ -83,22 +85,52 @@ def weekly_popularity(spark, sf_dir):
     return rounding(features.weekly_popularity(domain.watch(spark, sf_dir)), "watch_minutes")
 
 
-@query("user_segments")
+@query("user_segments", f"SELECT *, TRUE AS segment_known FROM ({_RFM}) r")
 def user_segments(spark, sf_dir):
-    return models.user_segments(materialise(rfm(spark, sf_dir), "rfm"))
+    """Every user with sessions is in one of the segments; which one is the model's choice."""
+    segments = 4
+    found = models.user_segments(materialise(rfm(spark, sf_dir), "rfm"), segments)
+    known = F.col("segment").between(0, segments - 1)
+    return found.select("user_id", *features.RFM, F.coalesce(known, F.lit(False)).alias("segment_known"))
 
 
-@query("churn_scores")
+@query(
+    "churn_scores",
+    f"""SELECT user_id, churned, user_id % 5 = 0 AS held_out, TRUE AS probability_known
+        FROM ({_CHURN}) c""",
+)
 def churn_scores(spark, sf_dir):
+    """A model of four users in five scores all; SQL checks the label and who is scored."""
     table = features.churn_features(domain.watch(spark, sf_dir), domain.users(spark, sf_dir))
-    table = materialise(table, "churn")
-    return models.churn_scores(models.churn_model(table), table)
+    table = materialise(table, "churn").withColumn("held_out", F.col("user_id") % 5 == 0)
+    scored = models.churn_scores(models.churn_model(table.filter("NOT held_out")), table)
+    known = F.col("churn_probability").between(0, 1)
+    return scored.select(
+        "user_id",
+        "churned",
+        (F.col("user_id") % 5 == 0).alias("held_out"),
+        F.coalesce(known, F.lit(False)).alias("probability_known"),
+    )
 
 
-@query("predicted_ratings")
+@query(
+    "predicted_ratings",
+    f"""SELECT user_id, movie_id, {rounded('user_rating')} AS user_rating,
+               (user_id + movie_id) % 5 = 0 AS held_out,
+               user_id IN (SELECT user_id FROM v_ratings WHERE (user_id + movie_id) % 5 <> 0)
+               AND movie_id IN (SELECT movie_id FROM v_ratings WHERE (user_id + movie_id) % 5 <> 0)
+                 AS predicted
+        FROM v_ratings""",
+)
 def predicted_ratings(spark, sf_dir):
+    """A model of four ratings in five predicts all whose user and item it knows."""
     ratings = materialise(review_ratings(domain.reviews(spark, sf_dir)), "ratings")
-    return models.predicted_ratings(models.rating_model(ratings), ratings)
+    ratings = ratings.withColumn("held_out", (F.col("user_id") + F.col("movie_id")) % 5 == 0)
+    found = models.predicted_ratings(models.rating_model(ratings.filter("NOT held_out")), ratings)
+    predicted = F.col("predicted_rating").isNotNull().alias("predicted")
+    # The factorisation works on int ids.
+    ids = [F.col(name).cast("long").alias(name) for name in ("user_id", "movie_id")]
+    return rounding(found.select(*ids, "user_rating", "held_out", predicted), "user_rating")
 
 
 _TERMS = """
