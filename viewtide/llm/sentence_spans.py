@@ -115,7 +115,8 @@ def repeated_runs(runs: DataFrame) -> DataFrame:
     """Rows (doc_id, version, place, size, first_doc) of every occurrence but a run's first."""
     order = F.struct(F.isnull("doc_id").alias("unnamed"), "doc_id", "version", "place")
     firsts = runs.groupBy(F.col("run").alias("of_run")).agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n"))
-    repeated = firsts.filter("n > 1").select("of_run", "first")
+    # Written first: a join of two plain shuffles is one whose hot runs Spark can split.
+    repeated = materialise(firsts.filter("n > 1").select("of_run", "first"), "repeated")
     joined = runs.withColumn("own", order).join(repeated, F.col("run") == F.col("of_run"))
     return joined.filter("NOT own <=> first").select(
         "doc_id", "version", "place", "size", F.col("first.doc_id").alias("first_doc")
