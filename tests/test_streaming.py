@@ -199,6 +199,14 @@ def test_complete_mode_counts_late_events(spark, tmp_path, settings):
     assert sorted(r["n"] for r in spark.table(name).collect()) == [1, 2]
 
 
+def test_missing_attribute_is_an_error(spark, folder, movies, users):
+    events = read_event_files(spark, str(folder))
+    with pytest.raises(ValueError, match="lacks release_year"):
+        streams.trending_stream(events, movies.drop("release_year"))
+    with pytest.raises(ValueError, match="lacks imdb_rating"):
+        streams.health_stream(events, users, movies)
+
+
 def test_history_keeps_days_apart_and_needs_no_large_state(spark, folder, movies, settings):
     stream = streams.trending_stream(read_event_files(spark, str(folder)), movies)
     path = scratch_path(spark, "history")

@@ -41,7 +41,8 @@ def _dimension(
     absent = [c for c in columns if c not in table.columns]
     if absent:
         raise ValueError(f"the dimension of {key} lacks {', '.join(absent)}")
-    return prepare_dimension(table, key, columns, defaults=defaults or {}, store=True)
+    known = {k: v for k, v in (defaults or {}).items() if k in columns}
+    return prepare_dimension(table, key, columns, defaults=known, store=True)
 
 
 def item_dimension(items: DataFrame) -> DataFrame:
@@ -96,12 +97,15 @@ def health_stream(
     With ``exact`` the result has one row per window, segment and user, for
     :func:`~viewtide.operators.windowed.health_from_users`; otherwise users are
     approximate and the result is final. The segments are made of user and item
-    attributes, so the dimensions are joined first.
+    attributes, so the dimensions are joined first, with the attributes that
+    ``keys`` and the measures use; a table that lacks one is an error.
     """
+    of_users = [c for c in HEALTH_USER_COLUMNS if c in keys or c == "monthly_spend"]
+    of_items = [c for c in HEALTH_ITEM_COLUMNS if c in keys or c == "imdb_rating"]
     enriched = enrich(
         with_event_time(events),
-        users=_dimension(users, "user_id", HEALTH_USER_COLUMNS, USER_DEFAULTS),
-        items=_dimension(items, "movie_id", HEALTH_ITEM_COLUMNS, ITEM_DEFAULTS),
+        users=_dimension(users, "user_id", of_users, USER_DEFAULTS),
+        items=_dimension(items, "movie_id", of_items, ITEM_DEFAULTS),
         watermark=watermark,
     )
     flagged = with_engagement_flags(enriched)
