@@ -23,8 +23,10 @@ from viewtide.streaming.queries import (
     to_memory,
 )
 
+#: Attribute names of the two jobs.
 ITEM_COLUMNS = ("title", "content_type", "genre_primary", "release_year")
-HEALTH_ITEM_COLUMNS = (
+HEALTH_#: Fixed values: attribute names of the two jobs.
+ITEM_COLUMNS = (
     "title", "content_type", "genre_primary", "imdb_rating", "is_original", "release_year", "rating",
 )
 HEALTH_USER_COLUMNS = (

@@ -39,18 +39,18 @@ WATCH_EVENT = fields(
 
 def movies_schema(original_flag: str = "is_original") -> StructType:
     """The catalogue schema; platforms name the "own production" flag differently."""
-    head = dict(
+    named = dict(
         movie_id="string", title="string", content_type="string", genre_primary="string",
         genre_secondary="string", release_year="integer", duration_minutes="double",
         rating="string", language="string", country_of_origin="string", imdb_rating="double",
         production_budget="double", box_office_revenue="double", number_of_seasons="integer",
-        number_of_episodes="integer",
+        number_of_episodes="integer", is_original="boolean", added_to_platform="date",
+        content_warning="boolean",
     )
-    tail = dict(added_to_platform="date", content_warning="boolean")
-    return fields(**head, **{original_flag: "boolean"}, **tail)
+    return fields(**{original_flag if n == "is_original" else n: t for n, t in named.items()})
 
 
-#: Tables with a documented schema; the others are inferred.
+#: Column names and types, as the data cards give them. Other tables are inferred.
 TABLE_SCHEMAS = {"users": USERS, "movies": movies_schema(), "watch_history": WATCH_HISTORY}
 
 #: Columns that must be present for a row of each table to be usable.
