@@ -75,6 +75,30 @@ def test_telling_terms_are_found_everywhere(spark):
     assert all(rows[20 + k].spans == "" for k in range(30))
 
 
+@pytest.mark.parametrize("copied", [0, 1, 30])
+def test_copies_do_not_unmark_a_telling_term(spark, copied):
+    """Of the documents with the term, one is copied 1,000 times: beside the entity, or away from it."""
+    rows = [(k, f"{prose(k, 12)} zebra37 boss@corp.example.com common {prose(90 + k, 12)}", "en", "a") for k in range(30)]
+    rows += [(30, f"{prose(7, 9)} zebra37 {prose(8, 9)}", "en", "a")]
+    rows += [(40 + k, f"{prose(40 + k, 30)} common {prose(60 + k, 30)}", "en", "a") for k in range(300)]
+    share = lambda rows: {r.term: r.disclosure for r in pii.revealing_terms(plain(spark, rows), generalise=0.9).collect()}
+    [zebra, common] = pii.term_hashes(["zebra37 common"])
+    made = share(rows + [(1000 + k, *rows[copied][1:]) for k in range(1000)])
+    assert made[zebra] == pytest.approx(1 + math.log(30 / 31) / math.log(1331 / 30))
+    assert common not in made
+
+
+def test_a_passage_in_many_documents_does_not_unmark_a_telling_term(spark):
+    """Two contexts, and a third that hundreds of different documents repeat."""
+    passage = "please write now to our zebra37 desk boss@corp.example.com any time that you like it"
+    rows = [(k, f"{prose(k, 12)} zebra37 boss@corp.example.com {prose(90 + k, 12)}", "en", "a") for k in range(2)]
+    rows += [(10 + k, f"{prose(200 + k, 30)} {passage} {prose(600 + k, 30)}", "en", "a") for k in range(200)]
+    rows += [(400 + k, prose(1200 + k, 30), "en", "a") for k in range(200)]
+    [zebra] = pii.term_hashes(["zebra37"])
+    made = {r.term: r.disclosure for r in pii.revealing_terms(plain(spark, rows)).collect()}
+    assert made[zebra] == pytest.approx(1)
+
+
 def test_passes_give_the_same(spark):
     docs = plain(spark, secretive())
     terms = pii.revealing_terms(docs, least=1, generalise=0.1)

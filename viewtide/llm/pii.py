@@ -1,11 +1,12 @@
 """Personal data: base patterns, and information-theoretic sanitisation of revealing terms.
 
-Every personal value found by a pattern is a protected entity. Terms near it are counted in
-distinct contexts, so that copies of one passage count once, and set against the number of
-all documents that hold the term. With N documents, n contexts of the entity, d documents
-of the term and c contexts of both, the term discloses
+Every personal value found by a pattern is a protected entity. Documents with a term near it
+are set against all documents that hold the term. Copies of a document count once: with n
+distinct documents of the entity, d of the term and c of the term near the entity, and N
+documents in all, the term discloses
 ``PMI / IC = log(c N / (n d)) / log(N / n)``
-of the entity's information. Terms from a threshold on are marked wherever they occur, with
+of the entity's information. A term must share some distinct contexts with the entity, so that
+one passage repeated in different documents marks nothing. Terms from a threshold on are marked wherever they occur, with
 or without the entity beside them: generalised, or removed where they disclose all.
 """
 
@@ -126,7 +127,8 @@ def _contexts(text: str, spans: list[Span], words: Words, hashes: np.ndarray, ro
 
 
 def count_corpus(docs: DataFrame) -> DataFrame:
-    """Rows (entity, term, context, n): contexts of entities, and with null ones the documents of terms."""
+    """Rows (entity, term, context, n): one for each document of an entity's context, and with
+    null ones the documents of terms."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -163,16 +165,23 @@ def count_corpus(docs: DataFrame) -> DataFrame:
 
 
 def revealing_terms(docs: DataFrame, least: int = LEAST, generalise: float = GENERALISE) -> DataFrame:
-    """Rows (term, disclosure): terms that disclose an entity, with the largest share of it."""
-    counted = materialise(count_corpus(docs), "terms")
+    """Rows (term, disclosure): terms that disclose an entity, with the largest share of it.
+
+    Terms are counted in distinct texts; all rows of ``docs`` only scale the information.
+    """
+    # Copies are combined before the shuffle, so a hot text is one row of each task.
+    counted = materialise(count_corpus(docs.select("text").distinct()), "terms")
     n_docs = docs.count()
-    contexts = counted.filter("entity IS NOT NULL").select("entity", "term", "context").distinct()
-    of_entity = contexts.select("entity", "context").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    both = contexts.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both")).filter(F.col("n_both") >= least)
+    near = counted.filter("entity IS NOT NULL")
+    contexts = near.groupBy("entity", "term", "context").agg(F.count(F.lit(1)).alias("n"))
+    # A document has one context of an entity, and that has the same terms wherever it is.
+    each = contexts.groupBy("entity", "context").agg(F.max("n").alias("n"))
+    of_entity = each.groupBy("entity").agg(F.sum("n").alias("n_entity"))
+    both = contexts.groupBy("entity", "term").agg(F.sum("n").alias("n_both"), F.count(F.lit(1)).alias("n_contexts"))
+    both = both.filter(F.col("n_contexts") >= least)
     of_term = counted.filter("entity IS NULL").groupBy("term").agg(F.sum("n").alias("n_term"))
     joined = both.join(of_entity, "entity").join(of_term, "term")
-    # A text may hold a term in several contexts; its documents are no fewer than that says.
-    rate = F.col("n_both") / F.greatest("n_term", "n_both")
+    rate = F.col("n_both") / F.col("n_term")
     information = F.log(F.lit(float(max(n_docs, 2))) / F.col("n_entity"))
     disclosed = F.when(information > 0, 1 + F.log(rate) / information).otherwise(F.lit(0.0))
     shares = joined.select("term", disclosed.alias("disclosure"))
