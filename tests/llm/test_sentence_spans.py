@@ -79,3 +79,35 @@ def test_awkward_rows(spark):
     assert {(r.text, r.n_sentences) for r in by_id[None]} >= {(None, 0)}
     assert by_id[4][0].text == next(r[1] for r in documents() if r[0] == 4)
     assert ss.remove_repeats(frame(spark, [])).collect() == []
+
+
+def test_passages_go_to_their_ends(spark):
+    """Long sentences before short ones, against a brute force over all runs."""
+    import random
+
+    rng, rows = random.Random(5), []
+
+    def some(n):
+        return " ".join(f"w{rng.randrange(10**6)}" for _ in range(n)) + ". "
+
+    passages = ["".join(some(n) for n in sizes) for sizes in ((30, 30, 2, 3), (3, 2, 30, 30, 1, 1, 1), (4, 4, 4), (12, 1, 1), (60,), (2, 3))]
+    for k in range(24):
+        own = [some(rng.randrange(1, 25)) for _ in range(3)]
+        rows.append((k, own[0] + passages[k % 6] + own[1] + passages[rng.randrange(6)] + own[2], "en", "a"))
+    docs = {(r[0], r[1]): sentences(r[1]) for r in rows}
+    runs = {}
+    for doc, own in docs.items():
+        for k in range(len(own)):
+            for end in range(k + 1, len(own) + 1):
+                run = tuple(w for s in own[k:end] for _, w in s)
+                if len(run) >= (ss.LONG_SENTENCE if end == k + 1 else ss.WORDS):
+                    runs.setdefault(run, []).append((doc, k, end))
+    cover = {doc: set() for doc in docs}
+    for places in runs.values():
+        for doc, k, end in sorted(places)[1:]:
+            cover[doc] |= set(range(k, end))
+    made = ss.remove_repeats(plain(spark, rows)).collect()
+    assert {r.doc_id: r.n_removed for r in made} == {doc[0]: len(x) for doc, x in cover.items()}
+    for r in made:
+        own = docs[r.doc_id, next(x[1] for x in rows if x[0] == r.doc_id)]
+        assert words(lower(r.text)) == [w for k, s in enumerate(own) if k not in cover[r.doc_id, rows[r.doc_id][1]] for _, w in s]

@@ -1,8 +1,9 @@
 """Substring dedup by sliding sentence spans.
 
 From every sentence the shortest run of several consecutive sentences with enough words is
-hashed, and the shortest one that ends a document. Runs join globally by hash; the first occurrence (by document id, then place) stays,
-and every sentence that some later occurrence covers is removed.
+hashed, and the shortest one that ends with it: every longer run is covered by such runs from
+its first sentence to its last. Runs join globally by hash; the first occurrence (by document
+id, then place) stays, and every sentence that some later occurrence covers is removed.
 """
 
 from __future__ import annotations
@@ -59,10 +60,9 @@ class Sentences:
         stop = np.maximum(np.searchsorted(bound, first + WORDS), each + SENTENCES)
         fits = np.flatnonzero(stop <= self.rows[text + 1])
         alone = np.flatnonzero(np.diff(bound) >= LONG_SENTENCE)
-        full = np.flatnonzero(np.diff(self.rows))
-        ends = self.rows[full + 1]
+        ends = each + 1
         last = np.minimum(np.searchsorted(bound, bound[ends] - WORDS, "right") - 1, ends - SENTENCES)
-        closes = last >= self.rows[full]
+        closes = np.flatnonzero(last >= self.rows[text])
         begin = np.concatenate((each[fits], alone, last[closes]))
         stop = np.concatenate((stop[fits], alone + 1, ends[closes]))
         begin, stop = np.unique(np.stack((begin, stop)), axis=1)
