@@ -108,3 +108,26 @@ def test_only_built_in_functions_and_empty(spark):
     assert row.near_next == 1
     plan = one._jdf.queryExecution().optimizedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_queries_are_sought_among_all_documents(spark):
+    """Copies and near copies of long texts, against all pairs of written fingerprints."""
+    rows = []
+    for k in range(60):
+        words = prose(k % 12, 500).split(" ")
+        if k % 3:
+            words[40 * (k % 7)] = f"changed{k}"
+        rows.append((k, " ".join(words), "en", "a", 1, 0.5, "v", 7, "k", 3))
+    rows += [(100 + k, text, "en", "a", 1, 0.5, "v", 7, "k", 3) for k, text in enumerate(["", None, "one"])]
+    rows.append((None, rows[0][1], "en", "a", 1, 0.5, "v", 7, "k", 3))
+    made = simhash.compare_with_edits(frame(spark, rows), every=4).collect()
+    assert len(made) == len(rows)
+    sizes = set()
+    for r in made:
+        near = [o for o in made if bin(int(r.fingerprint, 16) ^ int(o.fingerprint, 16)).count("1") <= simhash.RADIUS]
+        asks = r.doc_id is not None and r.doc_id % 4 == 0
+        want = (len(near), min(o.doc_id for o in near if o.doc_id is not None)) if asks else (None, None)
+        assert (r.n_within, r.least_within) == want
+        if asks:
+            sizes.add((len(near), len({o.fingerprint for o in near}) > 1))
+    assert max(sizes)[0] > 2 and any(several for _, several in sizes)

@@ -19,6 +19,8 @@ from viewtide.session import materialise
 TERM_WORDS = 3
 #: Bits in which near fingerprints may differ, and the blocks that the tables choose from.
 RADIUS, BLOCKS = 3, 6
+#: Documents whose ids this divides are the queries that are sought among all documents.
+QUERY_EVERY = 20
 #: Bytes of text that neighbours in document order share a bucket of, and the quantiles that
 #: place the buckets.
 BUCKET_BYTES, KNOTS = 4 << 20, 64
@@ -124,12 +126,14 @@ def with_next(rows: DataFrame, order: list[Column], value: str) -> DataFrame:
     return joined.withColumn("next_value", F.coalesce("after", "head")).drop("after", "head", "of_bucket")
 
 
-def compare_with_edits(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+def compare_with_edits(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES, every: int = QUERY_EVERY) -> DataFrame:
     """Fingerprints of every row of ``docs`` (doc_id, text) and of its edited text.
 
     The edited text has its last half replaced by the first as many characters of the next
     document: the one with the next lower id, by text among equal ids, null ids last, and
-    after the last one the first. A null text is empty. Each row gives one row.
+    after the last one the first. A null text is empty. Each row gives one row. Those of ids
+    that ``every`` divides have ``n_within`` and ``least_within``: the rows whose fingerprint is
+    within the radius of theirs, their own among them, and the smallest id of these.
     """
     docs = docs.select("doc_id", whole_text().alias("text"))
     docs = docs.withColumn("bucket", _bucket(docs, bucket_bytes))
@@ -153,6 +157,9 @@ def compare_with_edits(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> Dat
         "fingerprints",
     )
     chained = with_next(made.withColumnRenamed("rank", "place"), [F.col("place")], "first")
+    asked = F.coalesce(F.col("doc_id") % every == 0, F.lit(False))
+    # Joined by the fingerprint of every row: rows that do not ask have no common key of their own.
+    chained = chained.join(near_rows(made, made.filter(asked)), F.col("first") == F.col("query"), "left")
     return chained.select(
         "doc_id",
         "n_chars",
@@ -161,6 +168,8 @@ def compare_with_edits(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> Dat
         written("second").alias("edited_fingerprint"),
         likeness("first", "second").alias("near_edited"),
         likeness("first", "next_value").alias("near_next"),
+        F.when(asked, F.col("n_within")).alias("n_within"),
+        F.when(asked, F.col("least_within")).alias("least_within"),
     )
 
 
@@ -193,3 +202,15 @@ def within_radius(queries: DataFrame, found: DataFrame, radius: int = RADIUS, bl
     distance = F.bit_count(F.col("query").bitwiseXOR(F.col("fingerprint")))
     pairs = sides[0].join(sides[1], ["table", "key"]).withColumn("distance", distance.cast("int"))
     return pairs.filter(F.col("distance") <= radius).select("query", "fingerprint", "distance").distinct()
+
+
+def near_rows(rows: DataFrame, queries: DataFrame) -> DataFrame:
+    """Rows (query, n_within, least_within) for each fingerprint ``first`` of ``queries``.
+
+    Counted and smallest are the rows of ``rows`` (doc_id, first) within the radius; rows of
+    equal fingerprints meet the queries as one.
+    """
+    each = rows.groupBy(F.col("first").alias("fingerprint")).agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("least"))
+    pairs = within_radius(queries.select(F.col("first").alias("fingerprint")), each)
+    found = pairs.join(each, "fingerprint")
+    return found.groupBy("query").agg(F.sum("n").alias("n_within"), F.min("least").alias("least_within"))
