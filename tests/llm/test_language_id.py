@@ -93,3 +93,9 @@ def test_awkward_rows(spark):
     assert li.identify_held_out(frame(spark, [])).collect() == []
     unlabelled = [(k, random.Random(k).choice(["abc", ""]), None, None) for k in range(4)]
     assert {r.lang_pred for r in li.identify_held_out(plain(spark, unlabelled)).collect()} == {"und"}
+
+
+def test_viterbi_tells_more_than_128_languages_apart():
+    want = np.repeat([3, 299, 140, 255], 5)
+    scores = np.where(np.arange(300) == want[:, None], 0, -100).astype(np.float32)
+    assert li.viterbi(scores, np.array([0, 10, 20])).tolist() == want.tolist()

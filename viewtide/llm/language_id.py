@@ -186,14 +186,14 @@ class Model:
 def viterbi(scores: np.ndarray, rows: np.ndarray, switch: float = SWITCH) -> np.ndarray:
     """The best language of each word, text by text: all texts take a step together."""
     n_words, n_langs = scores.shape
-    labels = np.zeros(n_words, np.int8)
+    labels = np.zeros(n_words, np.int32)
     lengths = np.diff(rows)
     order = np.argsort(-lengths, kind="stable")
     starts, lengths = rows[:-1][order], lengths[order]
     longest = int(lengths[0]) if len(lengths) else 0
     active = np.searchsorted(-lengths, -np.arange(longest), "left")
     best = np.zeros((len(starts), n_langs), np.float32)
-    stays, tops = np.zeros((n_words, n_langs), bool), np.zeros(n_words, np.int8)
+    stays, tops = np.zeros((n_words, n_langs), bool), np.zeros(n_words, np.int32)
     for t in range(longest):
         n = active[t]
         at, own = starts[:n] + t, best[:n]
