@@ -63,3 +63,12 @@ def materialise(df: DataFrame, kind: str = "table") -> DataFrame:
     path = scratch_path(spark, kind)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a table that this library wrote below :func:`shared_dir` and no longer reads."""
+    root = shared_dir(spark)
+    if not path.startswith(f"{root}/") or ".." in path:
+        raise ValueError(f"{path} is not below {root}")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
