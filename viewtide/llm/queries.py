@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from viewtide.llm import jaccard_join, language_id, lm_scoring, mixing, packing, pii, quality, secrets, sentence_spans, simhash
+from viewtide.llm import grace_dedup, jaccard_join, language_id, lm_scoring, mixing, packing, pii, quality, secrets, sentence_spans, simhash, vector_codes
 from viewtide.llm.common import read_documents
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -101,10 +102,67 @@ def op4_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(docs).drop("text")
 
 
+def op11_grace_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which of all documents with equal texts stay."""
+    return grace_dedup.exact_groups(read_documents(spark, sf_dir).select("doc_id", "text"))
+
+
+GRACE_SQL = r"""
+    WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS text FROM documents),
+    g AS (SELECT text, min(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY text)
+    SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(text) AS text_sha256 FROM t JOIN g USING (text)"""
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product codes of all embeddings."""
+    coded, codebooks = vector_codes.compress(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    digest = F.lit(vector_codes.digest(codebooks)).alias("codebooks_sha256")
+    return vector_codes.with_label_errors(coded).select("vec_id", "code", "error", "label_error", digest)
+
+
+def codes_sql() -> str:
+    """The rounds of op12 one after the other, with all distances."""
+    parts, entries, rounds = vector_codes.PARTS, vector_codes.ENTRIES, vector_codes.ROUNDS
+    steps = [
+        f"""WITH k AS MATERIALIZED (SELECT row_number() OVER () AS n, vec_id, label,
+                list_transform(embedding, lambda x: CAST(floor({vector_codes.SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            FROM embeddings WHERE embedding IS NOT NULL
+                AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        p AS MATERIALIZED (SELECT n, part, v[part * (len(v) // {parts}) + 1 : (part + 1) * (len(v) // {parts})] AS x
+            FROM k, range({parts}) AS r(part)),
+        f AS (SELECT n, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM k ORDER BY vec_id LIMIT {entries}),
+        c0 AS MATERIALIZED (SELECT part, entry, x AS c FROM p JOIN f USING (n))"""
+    ]
+    for k in range(rounds + 1):
+        steps.append(
+            f"""a{k} AS MATERIALIZED (SELECT n, part, x, entry, d FROM (
+                SELECT n, part, x, entry, d, row_number() OVER (PARTITION BY n, part ORDER BY d, entry) AS place
+                FROM (SELECT n, p.part, x, entry,
+                    CAST(list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS d
+                    FROM p JOIN c{k} ON p.part = c{k}.part)) WHERE place = 1)"""
+        )
+        if k < rounds:
+            steps.append(
+                f"""c{k + 1} AS MATERIALIZED (SELECT part, entry, coalesce(m.c, c{k}.c) AS c FROM c{k} LEFT JOIN (
+                    SELECT part, entry, list(mean ORDER BY i) AS c FROM (
+                        SELECT part, entry, i, CAST(floor(CAST(sum(x[i]) AS DOUBLE) / count(*)) AS BIGINT) AS mean
+                        FROM a{k}, range(1, 1 + (SELECT max(len(x)) FROM p)) AS r(i) GROUP BY part, entry, i)
+                    GROUP BY part, entry) AS m USING (part, entry))"""
+            )
+    steps.append(
+        f"""e AS (SELECT n, string_agg(format('{{:02x}}', entry), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error
+            FROM a{rounds} GROUP BY n),
+        h AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM c{rounds})
+        SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+        FROM k JOIN e USING (n), h"""
+    )
+    return ",\n".join(steps)
+
+
 def queries() -> dict[str, Run]:
-    return {run.__name__: run for run in (op1_lm_scoring, op2_best_fit_packing, op3_secret_scans, op4_pfair_mixing, op5_quality_rules, op6_language_id, op7_jaccard_join, op8_sentence_spans, op9_simhash, op10_pii)}
+    return {run.__name__: run for run in (op1_lm_scoring, op2_best_fit_packing, op3_secret_scans, op4_pfair_mixing, op5_quality_rules, op6_language_id, op7_jaccard_join, op8_sentence_spans, op9_simhash, op10_pii, op11_grace_dedup, op12_vector_codes)}
 
 
 def oracle_sql() -> dict[str, str]:
     """SQL where it can say what a query does; the others are tested by brute force."""
-    return {"op3_secret_scans": secret_sql()}
+    return {"op3_secret_scans": secret_sql(), "op11_grace_dedup": GRACE_SQL, "op12_vector_codes": codes_sql()}
