@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import math
 
 import numpy as np
@@ -69,6 +71,13 @@ def smaller_batches(batches, most: int, column: str = "text"):
             yield batch.slice(start, stop - start)
 
 
+def give_back() -> None:
+    """Return freed memory to the system; an idle Python worker otherwise keeps its peak."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def sum_by_key(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys in order, and the sum of values of each."""
     if not len(keys):
@@ -115,16 +124,17 @@ def mix(h: np.ndarray) -> np.ndarray:
 class Words:
     """The words of a run of texts: byte places in ``data`` and the words before each row.
 
-    Words are runs of bytes other than ASCII white space. ``rows`` has one entry more than
-    there are texts: text i has the words ``rows[i]`` to ``rows[i + 1] - 1``.
+    Words are runs of bytes other than ASCII white space, or than the bytes marked in ``gap``,
+    of which the space must be one. ``rows`` has one entry more than there are texts: text i
+    has the words ``rows[i]`` to ``rows[i + 1] - 1``.
     """
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, gap: np.ndarray = SPACE):
         held = memoryview(np.ascontiguousarray(data))
         parts = [held[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
         self.data = np.frombuffer(b" ".join(parts) + b" ", np.uint8)
         self.text_start = offsets + np.arange(len(offsets))
-        inside = ~SPACE[self.data]
+        inside = ~gap[self.data]
         edges = np.flatnonzero(np.diff(inside, prepend=False))
         self.start, self.end = edges[0::2], edges[1::2]
         self.rows = np.searchsorted(self.start, self.text_start)
