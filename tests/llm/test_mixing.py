@@ -1,6 +1,7 @@
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.cases import documents, frame
 from viewtide.llm import mixing
@@ -67,8 +68,19 @@ def test_missing_weight_is_an_error(spark):
         mixing.mix_sources(frame(spark), {"a": 1.0})
 
 
-def test_order_and_empty(spark):
-    mixed = mixing.write_order(mixing.mix_sources(frame(spark), period=20, block_docs=2))
-    positions = [r.position for r in mixed.collect()]
-    assert positions == sorted(positions)
+def test_whole_rows_come_in_mixed_order(spark):
+    docs = frame(spark).withColumnsRenamed({"version": "_position", "key": "_key", "bucket": "_part"})
+    by = docs.select("doc_id", "text", "source", F.xxhash64(*docs.columns).alias("hash"))
+    want = mixing.mix_sources(by, period=20, block_docs=2, by=F.col("hash"))
+    order = [(r.doc_id, r.text) for r in want.orderBy("position").collect()]
+    mixed = mixing.mixed_texts(docs, period=20, block_docs=2)
+    assert mixed.columns == docs.columns
+    assert [(r.doc_id, r.text) for r in mixed.collect()] == order
+    # Partitions are ranges of positions, filled alike.
+    held = [r[0] for r in mixed.groupBy(F.spark_partition_id()).count().select("count").collect()]
+    assert len(held) == int(spark.conf.get("spark.sql.shuffle.partitions")) and max(held) <= 2 * min(held) + 2
+
+
+def test_empty(spark):
     assert mixing.mix_sources(frame(spark, [])).collect() == []
+    assert mixing.mixed_texts(frame(spark, [])).collect() == []

@@ -2,6 +2,7 @@ import inspect
 
 import corpus_pipeline
 import __spark_entry__ as driver
+import oracle
 from tests.llm.cases import documents, prose
 from viewtide.llm import queries
 
@@ -10,7 +11,7 @@ SF_DIR = "/root/testdata/sf0.001"
 
 def test_all_are_registered():
     names = driver.queries()
-    assert [sum(name.startswith(f"op{n}_") for name in names) for n in range(1, 11)] == [1] * 10
+    assert [sum(name.startswith(f"op{n}_") for name in names) for n in range(1, 14)] == [1] * 13
     assert "pipeline" in names and set(queries.oracle_sql()) <= set(names)
 
 
@@ -46,10 +47,7 @@ def test_run_and_empty(spark, tmp_path):
 
 
 def test_oracle_sql(spark):
-    import duckdb
-
-    connection = duckdb.connect()
-    connection.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF_DIR}/documents.parquet'")
+    connection = oracle.connect(SF_DIR)
     for name, sql in queries.oracle_sql().items():
         made = queries.queries()[name](spark, SF_DIR)
         columns = ", ".join(f'"{c}"' for c in made.columns)

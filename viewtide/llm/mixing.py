@@ -15,7 +15,7 @@ from __future__ import annotations
 import heapq
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from viewtide.session import materialise
@@ -76,15 +76,15 @@ def default_weights(docs: DataFrame, power: float = POWER) -> dict[str | None, f
     return {row["source"]: row["count"] ** power for row in docs.groupBy("source").count().collect()}
 
 
-def numbered(docs: DataFrame) -> DataFrame:
-    """Add ``number``: 0, 1, 2, ... within each source, in the order of a hash of id and text.
+def numbered(docs: DataFrame, by: Column | None = None) -> DataFrame:
+    """Add ``number``: 0, 1, 2, ... within each source, in the order of ``by`` or a hash of id and text.
 
     A source is numbered in ranges of that hash, side by side, and a range starts after the
     rows of those before it; no source is sorted in one place.
     """
     n_docs = docs.count()
     ranges = max(1, math.ceil(n_docs / RANGE_DOCS))
-    shuffled = docs.withColumn("_hash", F.xxhash64("doc_id", "text"))
+    shuffled = docs.withColumn("_hash", F.xxhash64("doc_id", "text") if by is None else by)
     low, width = -(1 << 63), (1 << 64) / ranges
     place = F.floor((F.col("_hash").cast("double") - F.lit(float(low))) / F.lit(width))
     shuffled = shuffled.withColumn("_range", F.least(place, F.lit(ranges - 1)).cast("long"))
@@ -105,6 +105,7 @@ def mix_sources(
     weights: dict[str | None, float] | None = None,
     period: int = PERIOD,
     block_docs: int = BLOCK_DOCS,
+    by: Column | None = None,
 ) -> DataFrame:
     """Rows of ``docs`` (doc_id, text, source) in mixed order, with their places.
 
@@ -139,7 +140,7 @@ def mix_sources(
     spark = docs.sparkSession
     plan = spark.createDataFrame([(s, parts[s], blocks[s], taken[s]) for s in sizes], "_source string, _parts long, _blocks long, _taken long")
     table = spark.createDataFrame([(s, j, k) for k, (s, j) in enumerate(slots)], "_slot_source string, _index long, _slot long")
-    rows = numbered(docs).join(F.broadcast(plan), F.col("source").eqNullSafe(F.col("_source")))
+    rows = numbered(docs, by).join(F.broadcast(plan), F.col("source").eqNullSafe(F.col("_source")))
     block = F.floor(F.col("number") / block_docs)
     rows = rows.withColumn("_block", block).withColumn("place", (F.col("number") % block_docs).cast("int"))
     rows = rows.withColumn("_turn", F.explode(F.expr("sequence(_block, _taken - 1, _blocks)")))
@@ -154,6 +155,36 @@ def mix_sources(
     return rows.select(*docs.columns, "epoch", "slot", "place", "position")
 
 
-def write_order(mixed: DataFrame) -> DataFrame:
-    """The mixture in its order: ranges of positions, sorted within."""
-    return materialise(mixed, "mixed").repartitionByRange("position").sortWithinPartitions("position")
+def mixed_texts(
+    docs: DataFrame,
+    weights: dict[str | None, float] | None = None,
+    period: int = PERIOD,
+    block_docs: int = BLOCK_DOCS,
+) -> DataFrame:
+    """Whole rows of ``docs`` in mixed order: as many ranges of positions as shuffle partitions, sorted within.
+
+    Rows are numbered, scheduled and placed by a 64-bit key alone. The texts then move twice:
+    to their places by that key, and to the ranges, which follow from the positions by
+    arithmetic since those are dense. Rows equal in all columns are placed one by one, but
+    meet their places as one row.
+    """
+    spark = docs.sparkSession
+    key, position, part = (_unused(docs, name) for name in ("_key", "_position", "_part"))
+    keyed = docs.withColumn(key, F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns)))
+    slim = keyed.select("source", F.col(key).alias("_key"))
+    mixed = mix_sources(slim, weights, period, block_docs, F.col("_key"))
+    places = materialise(mixed.select(F.col("_key").alias(key), F.col("position").alias(position)), "places")
+    last = places.agg(F.max(position)).first()[0]
+    if last is None:
+        return docs
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    whole = places.join(keyed.dropDuplicates([key]), key)
+    place = F.least(F.floor(F.col(position) * F.lit(ranges / (last + 1))).cast("int"), F.lit(ranges - 1))
+    whole = whole.withColumn(part, place).repartitionById(ranges, part)
+    return whole.sortWithinPartitions(position).select(*(F.col(f"`{c}`") for c in docs.columns))
+
+
+def _unused(docs: DataFrame, name: str) -> str:
+    while name in docs.columns:
+        name = f"_{name}"
+    return name
