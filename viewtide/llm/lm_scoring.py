@@ -26,6 +26,7 @@ from viewtide.llm.common import (
     Words,
     count_keys,
     flat,
+    give_back,
     row_chunks,
     sum_by_key,
     sums_by_row,
@@ -35,7 +36,7 @@ from viewtide.llm.common import (
 from viewtide.session import materialise
 
 #: Bytes of preceding text in the longest contexts, and of text in a block.
-DEPTH, BLOCK_BYTES = 5, 16 << 20
+DEPTH, BLOCK_BYTES = 5, 12 << 20
 #: Bytes of text whose grams are held as arrays at once.
 CHUNK = 1 << 20
 #: Counted keys that wait before they are added up.
@@ -76,6 +77,8 @@ def _count_block(depth: int):
                     }
                 )
             )
+        del data, offsets, found, parts, keys, counts
+        give_back()
         return pa.concat_tables(rows)
 
     return count
@@ -198,7 +201,11 @@ def _score_block(depth: int):
             )
         names = ("n_words", "n_known_words", "base_sum", "score")
         made = {name: pa.array(np.concatenate(x)) for name, x in zip(names, zip(*sums, strict=True), strict=True)}
-        return pa.table({"doc_id": docs["doc_id"], "held_out": docs["held_out"]} | made)
+        result = pa.table({"doc_id": docs["doc_id"], "held_out": docs["held_out"]} | made)
+        known.clear()
+        del docs, data, offsets
+        give_back()
+        return result
 
     return score
 
@@ -220,6 +227,7 @@ def score_texts(docs: DataFrame, depth: int = DEPTH, block_bytes: int = BLOCK_BY
             _count_block(depth), "block int, is_word boolean, key long, n long"
         ),
         "counts",
+        "zstd",
     )
     grams = counts.filter("NOT is_word").select("block", F.col("key").alias("gram"), "n")
     model = gram_model(grams.select("gram", "n"), depth)
