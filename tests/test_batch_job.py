@@ -56,7 +56,7 @@ def run(spark, data, tmp_path_factory):
             writer = csv.writer(handle)
             writer.writerow(TABLES[name])
             writer.writerows(lines)
-    tables = load_tables(spark, str(base))
+    tables = load_tables(spark, str(base), schemas={})
     return run_batch(
         spark, tables, TableSink(scratch_path(spark, "clean")), TableSink(scratch_path(spark, "result"))
     )

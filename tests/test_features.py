@@ -42,10 +42,16 @@ def users(spark):
 
 
 def test_rfm_features(watch, users, rows):
-    assert rows(features.rfm_features(watch, users), "user_id", *features.RFM) == [
-        (1, 0, 3, 9.0),
-        (2, 88, 2, 0.0),
-        (3, 40, 1, 7.0),
+    more = watch.unionByName(watch.limit(1).withColumn("user_id", F.lit(5)))
+    no_user = watch.limit(1).withColumn("user_id", F.lit(None).cast("int"))
+    found = features.rfm_features(more.unionByName(no_user), users)
+    assert rows(found, "user_id", *features.RFM, "has_sessions", "is_known") == [
+        (1, 0, 3, 9.0, True, True),
+        (2, 88, 2, 0.0, True, True),
+        (3, 40, 1, 7.0, True, True),
+        # A user without sessions, and one that the users lack, both stay.
+        (4, None, 0, 1.0, False, True),
+        (5, 100, 1, 0.0, True, False),
     ]
 
 
@@ -67,13 +73,60 @@ def test_rfm_scores_rank_without_a_global_window(spark, rows):
 def test_churn_features_split_at_the_cutoff(watch, users, rows):
     table = features.churn_features(watch, users, cutoff=day(50), horizon_days=60)
     columns = ["user_id", "sessions", "watch_minutes", "avg_progress", "completed_sessions",
-               "days_since_last", "churned", "monthly_spend"]
+               "days_since_last", "churned", "monthly_spend", "seen_before"]
     assert rows(table, *columns) == [
-        (1, 2, 10.0, 50.0, 1, 45, 0, 9.0),
-        (2, 2, 40.0, 30.0, 1, 38, 1, 0.0),
+        (1, 2, 10.0, 50.0, 1, 45, 0, 9.0, True),
+        (2, 2, 40.0, 30.0, 1, 38, 1, 0.0, True),
+        # Unseen before the cutoff, or without any session: kept, without a label.
+        (3, 0, 0.0, 0.0, 0, None, None, 7.0, False),
+        (4, 0, 0.0, 0.0, 0, None, None, 1.0, False),
     ]
 
 
+def test_churn_features_as_of_the_cutoff(spark, watch, users, rows):
+    changes = spark.createDataFrame(
+        [
+            (1, day(0), 1, "USA", "Basic", 1.0, True),
+            (1, day(49), 2, "USA", "Premium", 2.0, True),
+            # Neither at nor after the cutoff is known yet.
+            (1, day(50), 3, "Canada", "Basic", 3.0, False),
+            (2, day(20), 5, "USA", "Late", 5.0, False),
+            (2, day(20), 4, "USA", "Early", 4.0, True),
+            (3, day(1), 6, "USA", "Basic", 6.0, True),
+        ],
+        "user_id INT, changed_at TIMESTAMP, id INT, country STRING, subscription_plan STRING, monthly_spend DOUBLE, is_active BOOLEAN",
+    )
+    table = features.churn_features(
+        watch, users, cutoff=day(50), horizon_days=60, changes=changes, ties=["id"], label="is_active"
+    )
+    columns = ["user_id", "country", "subscription_plan", "monthly_spend", "sessions", "churned"]
+    assert rows(table, *columns) == [
+        (1, "USA", "Premium", 2.0, 2, 1),
+        (2, "USA", "Late", 5.0, 2, 1),
+        (3, "USA", "Basic", 6.0, 0, None),
+        (4, None, None, 0.0, 0, None),
+    ]
+
+
+def test_models_leave_unseen_users_out_and_keep_them(spark, watch, users):
+    table = features.rfm_features(watch, users)
+    model = models.segment_model(table, k=2)
+    found = {r["user_id"]: r for r in models.with_segments(model, table).withColumn("near", models.nearest_centre(model)).collect()}
+    assert set(found) == {1, 2, 3, 4} and found[4]["segment"] is None
+    assert all(found[k]["segment"] == found[k]["near"] for k in (1, 2, 3))
+    churn = features.churn_features(watch, users, cutoff=day(50), horizon_days=60)
+    scored = models.churn_scores(models.churn_model(churn), churn).collect()
+    assert {r["user_id"]: r["churn_probability"] is None for r in scored} == {1: False, 2: False, 3: True, 4: True}
+
+
+def test_a_constant_model_does_not_beat_the_base_rate(spark):
+    scored = spark.createDataFrame([(1, 0.9), (0, 0.2), (1, 0.6), (0, 0.1)], "churned INT, churn_probability DOUBLE")
+    own, base = models.churn_quality(scored, 0.5)
+    assert own < base
+    own, base = models.churn_quality(scored.withColumn("churn_probability", F.lit(0.5)), 0.5)
+    assert own == base
+
+
 def test_weekly_popularity_knows_gaps(watch, rows):
     weekly = features.weekly_popularity(watch)
     assert rows(weekly, "movie_id", "week", "views", "previous_views", "view_change") == [

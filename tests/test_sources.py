@@ -28,7 +28,7 @@ def test_csv_with_schema_checks_the_header(spark, tmp_path):
 def test_load_tables_and_shapes(spark, tmp_path, rows):
     (tmp_path / "u.csv").write_text("user_id,n\nu1,1\nu2,2\n")
     (tmp_path / "m.csv").write_text("movie_id\nm1\n")
-    loaded = tables.load_tables(spark, f"{tmp_path}/", {"users": "u.csv", "movies": "m.csv"})
+    loaded = tables.load_tables(spark, f"{tmp_path}/", {"users": "u.csv", "movies": "m.csv"}, {})
     assert rows(tables.table_shapes(loaded)) == [("movies", 1, 1), ("users", 2, 2)]
     report = tables.key_columns_report(loaded)
     assert rows(report) == [

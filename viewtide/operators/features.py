@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from viewtide.functions.missing import missing
+from viewtide.operators.asof import as_of_join
 from viewtide.operators.cleaning import impute_constant
 from viewtide.operators.distribution import column_quantiles
 
@@ -24,18 +25,28 @@ def last_date(watch: DataFrame, time: str = "watch_date") -> datetime:
 def rfm_features(
     watch: DataFrame, users: DataFrame, as_of: datetime | None = None, time: str = "watch_date"
 ) -> DataFrame:
-    """Recency, frequency and monetary value per user with sessions.
+    """Recency, frequency and monetary value per user.
 
-    Sessions are reduced to one row per user before the users are joined. A
-    missing spend counts as 0.
+    Sessions are reduced to one row per user before the users are joined. All users
+    stay: those without sessions have ``has_sessions`` false, no recency and a frequency of
+    0, and those missing from ``users`` have ``is_known`` false. A missing spend counts
+    as 0. Sessions without a user belong to none.
     """
     as_of = as_of or last_date(watch, time)
-    activity = watch.groupBy("user_id").agg(
+    activity = watch.filter(F.col("user_id").isNotNull()).groupBy("user_id").agg(
         F.date_diff(F.lit(as_of), F.max(time)).alias("recency_days"),
         F.count(F.lit(1)).alias("frequency"),
     )
-    spend = users.select("user_id", F.col("monthly_spend").alias("monetary"))
-    return impute_constant(activity.join(spend, "user_id"), {"monetary": 0.0})
+    spend = users.select("user_id", F.col("monthly_spend").alias("monetary"), F.lit(True).alias("is_known"))
+    joined = activity.join(spend, "user_id", "full").select(
+        "user_id",
+        "recency_days",
+        F.coalesce("frequency", F.lit(0)).alias("frequency"),
+        "monetary",
+        F.col("frequency").isNotNull().alias("has_sessions"),
+        F.coalesce("is_known", F.lit(False)).alias("is_known"),
+    )
+    return impute_constant(joined, {"monetary": 0.0})
 
 
 def _score(column: str, cuts: Sequence[float], highest_first: bool) -> Column:
@@ -48,16 +59,17 @@ def rfm_scores(features: DataFrame, groups: int = 5) -> DataFrame:
 
     Ranking users by a global window would sort them in one task. The quantile
     limits are a few numbers instead, and scoring is a projection. Equal values
-    score alike.
+    score alike. Users without sessions (``has_sessions``) shift no limit and have no scores.
     """
     points = [i / groups for i in range(1, groups)]
-    cuts = column_quantiles(features, {column: points for column in RFM})
+    scored = F.col("has_sessions") if "has_sessions" in features.columns else F.lit(True)
+    cuts = column_quantiles(features.filter(scored), {column: points for column in RFM})
     scores = {}
     for column, letter in zip(RFM, "rfm"):
         score = F.lit(None).cast("int")
         if cuts[column][0] is not None:
             score = _score(column, cuts[column], highest_first=column == "recency_days")
-        scores[f"{letter}_score"] = score
+        scores[f"{letter}_score"] = F.when(scored, score)
     return features.withColumns(scores)
 
 
@@ -67,13 +79,22 @@ def churn_features(
     cutoff: datetime | None = None,
     horizon_days: int = 90,
     time: str = "watch_date",
+    changes: DataFrame | None = None,
+    ties: Sequence[str] = (),
+    label: str | None = None,
 ) -> DataFrame:
     """What is known of each user before ``cutoff``, and whether they then left.
 
     ``churned`` is 1 for users without a session in the ``horizon_days`` from
-    ``cutoff`` on, which defaults to that long before the last session. Users
-    unseen before the cutoff are left out. One grouping of the sessions gives
-    features and label.
+    ``cutoff`` on, which defaults to that long before the last session. One grouping of
+    the sessions gives features and label. All users stay: those unseen before the cutoff
+    have ``seen_before`` false and no label, and those missing from ``users`` have
+    ``is_known`` false.
+
+    Attributes are those of ``users``, or, with ``changes`` (user_id, changed_at and the
+    attributes), as they were at the cutoff. ``label`` names a column of ``changes``,
+    such as ``is_active``: users then churn who are not active at the horizon's end, and whose
+    state is unknown have no label.
     """
     cutoff = cutoff or last_date(watch, time) - timedelta(days=horizon_days)
     known = F.col(time) < F.lit(cutoff)
@@ -92,10 +113,31 @@ def churn_features(
         F.date_diff(F.lit(cutoff), F.max(F.when(known, F.col(time)))).alias("days_since_last"),
         (F.count_if(later) == 0).cast("int").alias("churned"),
     )
-    attributes = users.select("user_id", "country", "subscription_plan", "monthly_spend")
-    return impute_constant(
-        activity.filter("sessions > 0").join(attributes, "user_id"), {"monthly_spend": 0.0}
+    names = ["country", "subscription_plan", "monthly_spend"]
+    known_users = users.select("user_id", *([] if changes is not None else names), F.lit(True).alias("is_known"))
+    table = activity.filter(F.col("user_id").isNotNull()).join(known_users, "user_id", "full")
+    numbers = {"sessions": 0, "watch_minutes": 0.0, "avg_progress": 0.0, "completed_sessions": 0}
+    table = table.withColumns({c: F.coalesce(c, F.lit(v)) for c, v in numbers.items()}).withColumns(
+        {"seen_before": F.col("sessions") > 0, "is_known": F.coalesce("is_known", F.lit(False))}
     )
+    table = table.withColumn("churned", F.when(F.col("seen_before"), F.col("churned")))
+    if changes is not None:
+        # At the cutoff itself a change is not known yet.
+        before = changes.filter(F.col("changed_at") < F.lit(cutoff))
+        table = _state_at(table, before, cutoff, names, ties)
+        if label:
+            end = cutoff + timedelta(days=horizon_days)
+            state = _state_at(table, changes.filter(F.col("changed_at") < F.lit(end)), end, [label], ties)
+            left = F.when(F.col("seen_before"), (~F.col(label)).cast("int"))
+            table = state.withColumn("churned", left).drop(label)
+    first = ["user_id", "country", "subscription_plan", "monthly_spend"]
+    ordered = table.select(*first, *[c for c in table.columns if c not in first])
+    return impute_constant(ordered, {"monthly_spend": 0.0})
+
+
+def _state_at(table: DataFrame, changes: DataFrame, at: datetime, columns: Sequence[str], ties: Sequence[str]) -> DataFrame:
+    asked = table.withColumn("__at", F.lit(at))
+    return as_of_join(asked, changes, "user_id", "__at", columns, ties=ties).drop("__at", "as_of")
 
 
 def weekly_popularity(

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from viewtide.plans.oracle import with_views
+from viewtide.plans.oracle import VIEWS, with_views
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -16,18 +16,20 @@ Run = Callable[[SparkSession, str], DataFrame]
 class Query:
     run: Run
     sql: str | None = None
+    #: The SQL without the views it uses.
+    text: str | None = None
 
 
 CATALOG: dict[str, Query] = {}
 
 
-def query(name: str, sql: str | None = None) -> Callable[[Run], Run]:
-    """Register a function of (spark, sf_dir) under ``name``."""
+def query(name: str, sql: str | None = None, views: dict[str, str] | None = None) -> Callable[[Run], Run]:
+    """Register a function of (spark, sf_dir) under ``name``; ``views`` replace the usual ones."""
 
     def register(run: Run) -> Run:
         if name in CATALOG:
             raise ValueError(f"query {name} is registered twice")
-        CATALOG[name] = Query(run, with_views(sql) if sql else None)
+        CATALOG[name] = Query(run, with_views(sql, views or VIEWS) if sql else None, sql)
         return run
 
     return register
@@ -39,6 +41,9 @@ def load() -> dict[str, Query]:
         queries_batch,
         queries_events,
         queries_features,
+        queries_job,
+        queries_kept,
+        queries_live,
         queries_quality,
         queries_streams,
         queries_tables,

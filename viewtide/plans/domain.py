@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from viewtide.functions.eventtime import with_watch_month
+from viewtide.session import scratch_path
 from viewtide.sources.events import read_event_files
 
 RAW_TABLES = (
@@ -111,6 +112,38 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tastes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ratings that depend on who rates what, with some noise; ids are text."""
+    user, item = F.col("o_custkey"), F.col("l_partkey")
+    alike = F.when(user % 3 == item % 3, 2.0).otherwise(0.0)
+    return (
+        _lines(spark, sf_dir)
+        .select(
+            F.concat(F.lit("u"), user).alias("user_id"),
+            F.concat(F.lit("m"), item).alias("movie_id"),
+            F.round(1 + alike + F.col("l_tax") * 10, 1).alias("rating"),
+        )
+    )
+
+
+def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each order as a change of its user's attributes and state."""
+    state = F.col("c_acctbal") + F.col("o_orderkey") % 1000 > 5000
+    return (
+        table(spark, sf_dir, "orders")
+        .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+        .select(
+            F.col("o_custkey").alias("user_id"),
+            F.col("o_orderdate").alias("changed_at"),
+            F.col("o_orderkey").alias("change_id"),
+            F.col("o_orderstatus").alias("country"),
+            F.col("o_orderpriority").alias("subscription_plan"),
+            F.col("c_acctbal").alias("monthly_spend"),
+            state.alias("is_active"),
+        )
+    )
+
+
 def raw_watch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sessions with copies, missing users, NaN durations and an empty column."""
     sessions = watch(spark, sf_dir)
@@ -167,3 +200,29 @@ def event_stream(spark: SparkSession, sf_dir: str, max_files: int = 1000) -> Dat
     # A glob, because a plain stream path must be a folder.
     rows = read_event_files(spark, f"{sf_dir}/events*.parquet", schema, max_files, "parquet")
     return as_events(rows.withColumn("ts", F.col("ts").cast("timestamp")))
+
+
+#: Parts of the month in which the sliced stream comes, and how many parts some events are late.
+SLICE_DAYS, LATE_SLICES, SLICES = 5, 3, 9
+
+
+def event_slices(spark: SparkSession, sf_dir: str) -> str:
+    """The events as one file a slice, in the order in which a stream is to read them.
+
+    A slice has the events of five days; every 13th event comes three slices late.
+    """
+    rows = table(spark, sf_dir, "events")
+    own = F.least(F.floor((F.dayofmonth("ts") - 1) / SLICE_DAYS), F.lit(SLICES - LATE_SLICES - 1))
+    late = F.when(F.col("event_id") % 13 == 0, LATE_SLICES).otherwise(0)
+    path = scratch_path(spark, "slices")
+    for k in range(SLICES):
+        # A file stream reads files in the order of their times.
+        rows.filter(own + late == k).coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+def sliced_stream(spark: SparkSession, path: str, sf_dir: str) -> DataFrame:
+    """The slices as a stream, one a batch."""
+    schema = table(spark, sf_dir, "events").schema
+    rows = read_event_files(spark, path, schema, 1, "parquet")
+    return as_events(rows.withColumn("ts", F.col("ts").cast("timestamp")))

@@ -49,6 +49,23 @@ VIEWS = {
                  AS quality,
                CASE event_id % 3 WHEN 0 THEN 'TV' WHEN 1 THEN 'Mobile' ELSE 'Laptop' END AS device_type
         FROM events""",
+    "v_changes": """
+        SELECT o_custkey AS user_id, o_orderdate AS changed_at, o_orderkey AS change_id, o_orderstatus AS country,
+               o_orderpriority AS subscription_plan, c_acctbal AS monthly_spend,
+               c_acctbal + o_orderkey % 1000 > 5000 AS is_active
+        FROM orders JOIN customer ON o_custkey = c_custkey""",
+    "v_tastes": """
+        SELECT user_id, movie_id, AVG(rating) AS user_rating FROM (
+            SELECT 'u' || CAST(o_custkey AS VARCHAR) AS user_id, 'm' || CAST(l_partkey AS VARCHAR) AS movie_id,
+                   ROUND(1 + CASE WHEN o_custkey % 3 = l_partkey % 3 THEN 2 ELSE 0 END + l_tax * 10, 1) AS rating
+            FROM lineitem JOIN orders ON l_orderkey = o_orderkey) t GROUP BY user_id, movie_id""",
+    "v_slices": """
+        SELECT *, CAST(LEAST((DAY(event_time) - 1) // 5, 5) + CASE WHEN event_id % 13 = 0 THEN 3 ELSE 0 END
+                    AS INTEGER) AS batch FROM v_events""",
+    "v_marks": """
+        SELECT batch, MAX(latest) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING)
+                        - INTERVAL 10 MINUTE AS mark
+        FROM (SELECT batch, date_trunc('milliseconds', MAX(event_time)) AS latest FROM v_slices GROUP BY batch) b""",
     "v_ratings": """
         SELECT user_id, movie_id, AVG(rating) AS user_rating FROM v_reviews GROUP BY user_id, movie_id""",
     "v_star": """
@@ -106,15 +123,15 @@ VIEWS = {
 }
 
 
-def with_views(sql: str) -> str:
+def with_views(sql: str, views: dict[str, str] = VIEWS) -> str:
     """Prefix ``sql`` with the views it uses, directly or through others."""
 
     def needed(text: str) -> set[str]:
-        direct = {name for name in VIEWS if re.search(rf"\b{name}\b", text)}
-        return direct.union(*[needed(VIEWS[name]) for name in direct])
+        direct = {name for name in views if re.search(rf"\b{name}\b", text)}
+        return direct.union(*[needed(views[name]) for name in direct])
 
     names = needed(sql)
-    parts = [f"{name} AS ({body})" for name, body in VIEWS.items() if name in names]
+    parts = [f"{name} AS ({body})" for name, body in views.items() if name in names]
     body = sql.strip()
     if not parts:
         return body

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from viewtide.functions.missing import missing, quoted
-from viewtide.schemas import JOIN_KEYS, TABLE_FILES
+from viewtide.schemas import JOIN_KEYS, TABLE_FILES, TABLE_SCHEMAS
 
 
 def union_all(frames: Iterable[DataFrame]) -> DataFrame:
@@ -27,14 +27,42 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | None = None) -
     return reader.option("enforceSchema", False).schema(schema).csv(path)
 
 
+REJECTED = "__rejected"
+
+
+def csv_with_rejects(
+    spark: SparkSession, path: str, schema: StructType, header: bool = True
+) -> tuple[DataFrame, DataFrame]:
+    """A CSV's rows that fit ``schema``, and the lines that do not, as (line, file).
+
+    A line is rejected if it has more or fewer fields than the schema, or a field that is not
+    of its type. Every line is in one of the two.
+    """
+    rescued = StructType([*schema.fields]).add(REJECTED, "string")
+    reader = spark.read.option("header", header).option("mode", "PERMISSIVE")
+    reader = reader.option("columnNameOfCorruptRecord", REJECTED)
+    # Without this, a line's fate would depend on the columns a query uses.
+    rows = reader.option("columnPruning", False).schema(rescued).csv(path)
+    rows = rows.withColumn("__file", F.col("_metadata.file_path"))
+    # Always true: Spark refuses to read nothing but rejected text.
+    parsed = F.hash(*[quoted(f.name) for f in schema.fields]) >= F.lit(-(1 << 31))
+    good = rows.filter(F.col(REJECTED).isNull() & parsed).drop(REJECTED, "__file")
+    rejected = rows.filter(F.col(REJECTED).isNotNull() & parsed)
+    return good, rejected.select(F.col(REJECTED).alias("line"), F.col("__file").alias("file"))
+
+
 def load_tables(
     spark: SparkSession,
     base: str,
     files: Mapping[str, str] = TABLE_FILES,
     schemas: Mapping[str, StructType] | None = None,
 ) -> dict[str, DataFrame]:
-    """Lazily open ``{name: file}`` below ``base``; any path scheme Spark knows."""
-    schemas = schemas or {}
+    """Lazily open ``{name: file}`` below ``base``; any path scheme Spark knows.
+
+    Tables with a documented schema must have its columns; the others are inferred. Other
+    ``schemas``, or none, may be given.
+    """
+    schemas = TABLE_SCHEMAS if schemas is None else schemas
     return {
         name: read_csv(spark, f"{base.rstrip('/')}/{file}", schemas.get(name))
         for name, file in files.items()

@@ -14,6 +14,8 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 from pyspark.sql.types import StructField, StructType
 
+from viewtide.sinks.ledger import Ledger
+
 TRIGGER_INTERVAL = "10 seconds"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 #: State on executor disks; each trigger uploads its changes, not all state.
@@ -142,21 +144,34 @@ def append_to_end(
 Target = Callable[[DataFrame, int], None]
 
 
-def batch_writer(targets: Mapping[str, Target]) -> Target:
+def batch_writer(targets: Mapping[str, Target], done: Ledger | None = None) -> Target:
     """A ``foreachBatch`` function that hands each batch to every target.
 
     Empty batches are skipped. The batch is kept while the targets write it, so
     it is computed once however many there are. A batch that fails is run again
     after a restart, so a target must give the same result when repeated:
-    replace a table, or write with :func:`add_batch`.
+    replace a table, or write with :func:`add_batch`. With ``done``, a target
+    that has ended is noted and not run again for that batch; then only a crash
+    between a target's own end and its note repeats it.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        waiting = {
+            name: target
+            for name, target in targets.items()
+            if done is None or done.get(f"{batch_id}-{name}") is None
+        }
+        if not waiting:
+            return
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if not batch.isEmpty():
-                for target in targets.values():
+                for name, target in waiting.items():
                     target(batch, batch_id)
+                    if done is not None:
+                        done.put(f"{batch_id}-{name}")
+                        # A batch before the last cannot be run again.
+                        done.forget(f"{batch_id - 2}-{name}")
         finally:
             batch.unpersist()
 
@@ -183,14 +198,19 @@ def to_batches(
     targets: Mapping[str, Target],
     settings: StreamSettings,
     mode: str = "complete",
+    once_each: bool = False,
 ) -> StreamingQuery:
     """One query feeding several targets on each trigger.
 
+    ``once_each`` notes beside the checkpoint which targets have had a batch, so that a
+    restart gives it to the others only.
+
     Complete mode hands over all windows every time: it keeps them in state and
     drops no late event, so it suits results that stay small. Sorting belongs
     in a target: there it orders one batch instead of the stream's plan.
     """
-    writer = df.writeStream.outputMode(mode).foreachBatch(batch_writer(targets))
+    done = Ledger(df.sparkSession, f"{settings.checkpoint}-targets") if once_each else None
+    writer = df.writeStream.outputMode(mode).foreachBatch(batch_writer(targets, done))
     return _start(writer, df.sparkSession, settings)
 
 
