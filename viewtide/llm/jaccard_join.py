@@ -356,6 +356,7 @@ def similar_groups(docs: DataFrame) -> DataFrame:
     """Rows (doc_id, version, n_shingles, class_id, component, component_id) for each row of
     ``docs`` (doc_id, text).
 
+    ``class_id`` is the smallest doc_id with the same set of shingles, null without any;
     ``component_id`` is the smallest doc_id that links reach, and ``component`` names the group
     itself; ``version`` is a hash of the text. A text without words has no shingles and stays
     by itself, as does a null text. Repeated rows and equal texts share a class; a null id
@@ -390,14 +391,15 @@ def similar_groups(docs: DataFrame) -> DataFrame:
     named = classes.select("id", "first_doc").join(found.withColumnRenamed("node", "id"), "id", "left")
     named = named.withColumn("component", F.coalesce("component", "id"))
     lowest = named.groupBy(F.col("component").alias("of")).agg(F.min("first_doc").alias("component_id"))
-    named = named.join(lowest, F.col("component") == F.col("of")).select("id", "component", "component_id")
+    named = named.join(lowest, F.col("component") == F.col("of"))
+    named = named.select("id", "component", "component_id", "first_doc")
     result = own.join(named, "id", "left")
     alone = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
     return result.select(
         "doc_id",
         "version",
         F.col("n").alias("n_shingles"),
-        F.col("id").alias("class_id"),
+        F.col("first_doc").alias("class_id"),
         "component",
         alone.alias("component_id"),
     )
