@@ -4,8 +4,10 @@ from collections import defaultdict
 
 import pytest
 
+from viewtide.plans import batch
 from viewtide.plans.batch import export, run_batch
 from viewtide.session import scratch_path
+from viewtide.sinks.ledger import Ledger
 from viewtide.sinks.tables import TableSink
 from viewtide.sources.tables import load_tables
 
@@ -148,3 +150,48 @@ def test_empty_critical_column_stops_the_run(spark):
     tables = {"users": spark.createDataFrame([(None, "e")], "user_id STRING, email STRING")}
     with pytest.raises(ValueError, match="user_id"):
         run_batch(spark, tables, TableSink(scratch_path(spark, "c")), TableSink(scratch_path(spark, "r")))
+
+
+def test_a_broken_run_redoes_only_what_is_left(spark, data, tmp_path, monkeypatch):
+    """A job that breaks in its star, then one that resumes, then one after a table has changed."""
+    for name, lines in data.items():
+        with open(tmp_path / f"{name}.csv", "w", newline="") as handle:
+            csv.writer(handle).writerows([TABLES[name], *lines])
+    sinks = [TableSink(scratch_path(spark, kind)) for kind in ("clean", "result")]
+    notes = Ledger(spark, scratch_path(spark, "steps"))
+    written = []
+    overwrite = TableSink.overwrite
+
+    def counted(self, df, name, *args, **more):
+        written.append(name)
+        return overwrite(self, df, name, *args, **more)
+
+    monkeypatch.setattr(TableSink, "overwrite", counted)
+
+    def job():
+        written.clear()
+        tables = load_tables(spark, str(tmp_path), schemas={})
+        return run_batch(spark, tables, *sinks, notes=notes)
+
+    star = batch.star_join
+    monkeypatch.setattr(batch, "star_join", lambda *args: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        job()
+    assert len(written) == 6
+    monkeypatch.setattr(batch, "star_join", star)
+    done = job()
+    results = {"star", "user_months", "monthly_engagement", "cohort_retention", "content_performance", "genre_performance", "monthly_active_users"}
+    assert set(written) == results and len(written) == 7
+    again = job()
+    assert written == [] and again.results == done.results
+    assert sorted(map(tuple, again.quality.collect())) == sorted(map(tuple, done.quality.collect()))
+    # Another search log touches no result; another review touches all that come from the star.
+    with open(tmp_path / "search_logs.csv", "a") as handle:
+        handle.write("u3,comedy\n")
+    job()
+    assert written == ["SearchLogs"]
+    with open(tmp_path / "reviews.csv", "a") as handle:
+        handle.write("u3,m3,5\n")
+    fresh = job()
+    assert set(written) == results | {"Reviews"}
+    assert spark.read.parquet(fresh.cleaned["reviews"]).filter("user_id = 'u3' AND movie_id = 'm3' AND rating = 5").count() == 1

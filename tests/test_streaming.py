@@ -11,6 +11,7 @@ from viewtide.plans import streams
 from viewtide.schemas import WATCH_EVENT
 from viewtide.session import scratch_path
 from viewtide.sinks.tables import TableSink
+from viewtide.sinks.versioned import VersionedTable
 from viewtide.sources.events import nan_to_null, read_event_files
 from viewtide.streaming.enrich import enrich, prepare_dimension
 from viewtide.streaming.queries import (
@@ -295,3 +296,18 @@ def test_one_failure_stops_all_queries(spark, folder, settings):
         finish_all(spark, [steady, failing])
     assert not steady.isActive and not failing.isActive
     spark.streams.resetTerminated()
+
+
+def test_live_windows_by_ids_equal_the_batch(spark, folder, movies, users, settings, rows):
+    """Counted by ids, joined afterwards, and kept by changed hours."""
+    items = movies.withColumns({"imdb_rating": F.when(F.col("movie_id") != "m2", 7.5), "is_original": F.lit(True)})
+    stream = streams.health_partials(read_event_files(spark, str(folder)), "30 minutes")
+    base = scratch_path(spark, "live")
+    partials, result = (VersionedTable(spark, f"{base}/{name}", "hour") for name in ("partials", "result"))
+    ids = ["user_id", "movie_id", *windowed.EVENT_KEYS]
+    finished = lambda part: streams.finished_health(part, users, items)
+    query = finish(streams.start_live_windows(stream, ids, partials, finished, result, settings))
+    batch = streams.health_stream(static_events(spark, folder).drop("event_time"), users, items, "30 minutes", exact=True)
+    want = windowed.health_from_users(batch)
+    assert rows(result.read(), *want.columns) == rows(want)
+    assert query_status(spark, query).first()["input_rows"] == 300

@@ -73,16 +73,27 @@ class _Sought:
 
 def _bracketed(values: DataFrame, sought: list[_Sought], accuracy: int) -> list[_Sought]:
     """Closer limits for every rank: a sketch of the rows inside, then a count around its answer."""
-    asked = []
+    # Ranks inside the same limits share a sketch, and those with the same answers their counts.
+    asked: dict[tuple, list[float]] = {}
     for one in sought:
         at = (one.rank - one.below) / one.inside
-        points = [max(0.0, at - 2 / accuracy), min(1.0, at + 2 / accuracy)]
-        asked.append(F.percentile_approx(F.when(one.within(), F.col(one.name)), points, accuracy))
-    limits = values.agg(*(column.alias(f"a{i}") for i, column in enumerate(asked))).first()
+        points = asked.setdefault((one.name, one.low, one.high), [])
+        points += [max(0.0, at - 2 / accuracy), min(1.0, at + 2 / accuracy)]
+    sketches = [
+        F.percentile_approx(F.when(F.col(name).between(low, high), F.col(name)), points, accuracy)
+        for (name, low, high), points in asked.items()
+    ]
+    answers = dict(zip(asked, values.agg(*(c.alias(f"a{i}") for i, c in enumerate(sketches))).first()))
+    taken = dict.fromkeys(asked, 0)
+    limits = []
+    for one in sought:
+        of = (one.name, one.low, one.high)
+        limits.append(tuple(answers[of][taken[of] : taken[of] + 2]))
+        taken[of] += 2
+    named = {key: i for i, key in enumerate(dict.fromkeys((one.name, *limit) for one, limit in zip(sought, limits)))}
     counted = []
-    for i, one in enumerate(sought):
-        low, high = limits[i]
-        x, inner = F.col(one.name), F.col(one.name).between(low, high)
+    for (name, low, high), i in named.items():
+        x, inner = F.col(name), F.col(name).between(low, high)
         counted += [
             F.count_if(x < low).alias(f"below{i}"),
             F.count_if(inner).alias(f"inside{i}"),
@@ -93,8 +104,8 @@ def _bracketed(values: DataFrame, sought: list[_Sought], accuracy: int) -> list[
         ]
     counts = values.agg(*counted).first()
     closer = []
-    for i, one in enumerate(sought):
-        low, high = limits[i]
+    for one, (low, high) in zip(sought, limits):
+        i = named[one.name, low, high]
         below, inside, lows, highs = (counts[f"{name}{i}"] for name in ("below", "inside", "lows", "highs"))
         end = below + inside
         if one.rank < below:

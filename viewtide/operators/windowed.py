@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from viewtide.functions.rounding import stable_round
 from viewtide.functions.signals import alert_level, percentage
 
+#: Names of the keys and results below.
 WINDOW_DURATION = "5 minutes"
 TRENDING_KEYS = ("movie_id",)
 ITEM_ATTRIBUTES = ("title", "genre_primary", "content_type")
@@ -181,6 +182,51 @@ def health_from_users(partials: DataFrame, keys: Sequence[str] = HEALTH_KEYS) ->
     )
 
 
+#: What an event itself says of its segment; the rest follows from its user and item.
+EVENT_KEYS = ("device_type", "quality")
+
+
+def health_by_ids(
+    events: DataFrame, duration: str = WINDOW_DURATION, event_keys: Sequence[str] = EVENT_KEYS
+) -> DataFrame:
+    """Health measures per window, user, item and event keys, before any dimension is joined.
+
+    Runs on a stream: its state holds ids instead of attributes, and a hot user or item meets
+    a join as a few rows instead of all events. Events carry the flags.
+    """
+    own = [
+        _rows().alias("total_sessions"),
+        F.sum("watch_duration_minutes").alias("total_watch_minutes"),
+        F.sum("progress_percentage").alias("progress_sum"),
+        F.sum("is_low_engagement").alias("low_engagement_count"),
+        F.sum("is_abandoned").alias("abandonment_count"),
+        F.sum("is_quality_downgrade").alias("quality_downgrade_count"),
+        F.sum("is_completed").alias("completion_count"),
+    ]
+    return windowed(events, duration, ["user_id", "movie_id", *event_keys], own)
+
+
+def health_from_ids(
+    partials: DataFrame, users: DataFrame, items: DataFrame, keys: Sequence[str] = HEALTH_KEYS
+) -> DataFrame:
+    """Engagement health from :func:`health_by_ids` and dimensions of one row per id.
+
+    A rating or a spend counts once for each of its sessions, as if joined to the events.
+    """
+    joined = partials.join(users, "user_id", "left").join(items, "movie_id", "left")
+    n = F.col("total_sessions")
+    measured = joined.withColumns(
+        {
+            "imdb_sum": F.col("imdb_rating") * n,
+            "imdb_count": F.when(F.col("imdb_rating").isNotNull(), n).otherwise(0),
+            "spend_sum": F.col("monthly_spend") * n,
+            "spend_count": F.when(F.col("monthly_spend").isNotNull(), n).otherwise(0),
+        }
+    )
+    by_user = measured.groupBy(*WINDOW_BOUNDS, *keys, "user_id").agg(*[F.sum(c).alias(c) for c in _HEALTH_SUMS])
+    return health_from_users(by_user, keys)
+
+
 def health_approx(
     events: DataFrame, duration: str = WINDOW_DURATION, keys: Sequence[str] = HEALTH_KEYS
 ) -> DataFrame:

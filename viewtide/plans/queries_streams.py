@@ -145,12 +145,14 @@ def stream_trending_approx(spark, sf_dir):
     health("1 hour", ", ".join(windowed.HEALTH_KEYS)),
 )
 def stream_engagement_health(spark, sf_dir):
-    enriched = enriching(spark, sf_dir)
+    """Counted by ids on the stream; users and items join the closed windows."""
 
     def build(events: DataFrame) -> DataFrame:
-        return windowed.health_by_user(with_engagement_flags(enriched(events)), "1 hour")
+        return windowed.health_by_ids(with_engagement_flags(enrich(events)), "1 hour")
 
-    return windowed.health_from_users(windows_of(spark, sf_dir, build))
+    counted = windows_of(spark, sf_dir, build)
+    dimensions = [make(spark, sf_dir, store=True) for make in (user_dimension, item_dimension)]
+    return windowed.health_from_ids(counted, *dimensions)
 
 
 @query(

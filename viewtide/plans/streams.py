@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +12,7 @@ from viewtide.functions.eventtime import with_event_time
 from viewtide.functions.signals import with_engagement_flags
 from viewtide.operators import windowed
 from viewtide.sinks.tables import TableSink
+from viewtide.sinks.versioned import VersionedTable, upsert_windows
 from viewtide.sources.events import split_valid, validate_events
 from viewtide.streaming.enrich import WATERMARK_DELAY, enrich, prepare_dimension
 from viewtide.streaming.queries import (
@@ -115,6 +116,51 @@ def health_stream(
     return windowed.health_approx(flagged, duration, keys)
 
 
+def health_partials(
+    events: DataFrame, duration: str = windowed.WINDOW_DURATION, watermark: str = WATERMARK_DELAY
+) -> DataFrame:
+    """Engagement health of raw watch events by ids, to be finished by :func:`finished_health`.
+
+    No dimension is joined to the stream, so their changes show in all windows and hot users
+    or items load no task.
+    """
+    counted = enrich(with_event_time(events), watermark=watermark)
+    return windowed.health_by_ids(with_engagement_flags(counted), duration)
+
+
+def finished_health(
+    partials: DataFrame, users: DataFrame, items: DataFrame, keys: Sequence[str] = windowed.HEALTH_KEYS
+) -> DataFrame:
+    """Exact engagement health per segment, from a batch or table of partial rows."""
+    of_users = [c for c in HEALTH_USER_COLUMNS if c in keys or c == "monthly_spend"]
+    of_items = [c for c in HEALTH_ITEM_COLUMNS if c in keys or c == "imdb_rating"]
+    return windowed.health_from_ids(
+        partials,
+        _dimension(users, "user_id", of_users, USER_DEFAULTS),
+        _dimension(items, "movie_id", of_items, ITEM_DEFAULTS),
+        keys,
+    )
+
+
+def start_live_windows(
+    stream: DataFrame,
+    keys: Sequence[str],
+    partials: VersionedTable,
+    finished: Callable[[DataFrame], DataFrame],
+    result: VersionedTable,
+    settings: StreamSettings,
+) -> StreamingQuery:
+    """Keep a table up to date in update mode: only hours with changed windows are replaced.
+
+    ``stream`` is a windowed aggregate with additive rows of ``keys``, kept in ``partials``,
+    and ``finished`` turns those of the touched hours into ``result``. State is dropped as
+    windows close, and readers of either table see whole versions.
+    """
+    hour = F.date_format(F.date_trunc("hour", "window_start"), "yyyy-MM-dd-HH")
+    target = upsert_windows(partials, [*windowed.WINDOW_BOUNDS, *keys], hour, finished, result)
+    return to_batches(stream, {"windows": target}, settings, mode="update", once_each=True)
+
+
 def replace_table(sink: TableSink, name: str, sort_by: Sequence[str] = ()) -> Target:
     """A target that overwrites one table with each batch, sorted for reading."""
 

@@ -110,13 +110,17 @@ def fingerprint(df: DataFrame) -> str | None:
     plan = re.sub(r"#\d+L?", "", df._jdf.queryExecution().analyzed().toString())
     if any(kind in plan for kind in ("LocalRelation", "LogicalRDD", "ExternalRDD", "rand(", "uuid(")):
         return None
-    files = sorted(df.inputFiles())
     hadoop = spark._jvm.org.apache.hadoop.fs
+    folders: dict[str, set[str]] = {}
+    for file in df.inputFiles():
+        folder, name = file.rsplit("/", 1)
+        folders.setdefault(folder, set()).add(unquote(name))
     seen = sha256(plan.encode())
     # Folders are listed, since asking for each file takes a call.
-    for folder in sorted({file.rsplit("/", 1)[0] for file in files}):
+    for folder, names in sorted(folders.items()):
         path = hadoop.Path(spark._jvm.java.net.URI(folder))
-        for status in path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path):
-            if status.isFile():
+        listed = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+        for status in sorted(listed, key=lambda s: s.getPath().getName()):
+            if status.getPath().getName() in names:
                 seen.update(f"{status.getPath()} {status.getLen()} {status.getModificationTime()}\n".encode())
     return seen.hexdigest()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime, timedelta
 
 from pyspark import StorageLevel
@@ -17,6 +17,8 @@ from pyspark.sql.types import StructField, StructType
 from viewtide.sinks.ledger import Ledger
 
 TRIGGER_INTERVAL = "10 seconds"
+#: A batch as soon as the one before has ended.
+AT_ONCE = "0 seconds"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 #: State on executor disks; each trigger uploads its changes, not all state.
 LARGE_STATE = {
@@ -116,7 +118,7 @@ def append_to_end(
     Append mode emits a window when later events move the watermark past it, so the end of
     a bounded source would stay in state. The stream therefore reads a second folder beside
     ``source``. When all events are through, one mark is put there: a row with nothing but a
-    time far ahead. A second run from the same checkpoint reads it and closes every window
+    time far ahead. The query, which goes on until then, reads it and closes every window
     of the events; the mark's own window stays open and is never written. ``build`` makes
     the windowed aggregate from the events; ``settings`` must not keep a trigger interval.
     """
@@ -126,19 +128,19 @@ def append_to_end(
     # A mark leaves every column but its time empty.
     schema = StructType([StructField(f.name, f.dataType) for f in source.schema])
     marks = f"{settings.checkpoint}-marks"
-    spark.createDataFrame([], schema).write.parquet(marks)
-
-    def run() -> StreamingQuery:
-        marked = source.unionByName(spark.readStream.schema(schema).parquet(marks))
-        return finish(to_files(build(marked), path, settings))
-
-    latest = [p["eventTime"].get("max") for p in run().recentProgress]
-    if not any(latest):
-        return
-    end = datetime.fromisoformat(max(filter(None, latest)).replace("Z", "+00:00"))
-    row = {name: None for name in schema.fieldNames()} | {time: end + ahead}
-    spark.createDataFrame([tuple(row.values())], schema).write.mode("append").parquet(marks)
-    run()
+    spark.createDataFrame([], schema).write.mode("ignore").parquet(marks)
+    marked = source.unionByName(spark.readStream.schema(schema).parquet(marks))
+    query = to_files(build(marked), path, replace(settings, interval=AT_ONCE))
+    try:
+        query.processAllAvailable()
+        latest = [p["eventTime"].get("max") for p in query.recentProgress]
+        if any(latest):
+            end = datetime.fromisoformat(max(filter(None, latest)).replace("Z", "+00:00"))
+            row = {name: None for name in schema.fieldNames()} | {time: end + ahead}
+            spark.createDataFrame([tuple(row.values())], schema).write.mode("append").parquet(marks)
+            query.processAllAvailable()
+    finally:
+        query.stop()
 
 
 Target = Callable[[DataFrame, int], None]
