@@ -1,25 +1,31 @@
 """Personal data: base patterns, and information-theoretic sanitisation of revealing terms.
 
 Every personal value found by a pattern is a protected entity. Documents with a term near it
-are set against all documents that hold the term. Copies of a document count once: with n
-distinct documents of the entity, d of the term and c of the term near the entity, and N
-documents in all, the term discloses
+are set against all documents that hold the term. Everything is counted in distinct texts: with
+n texts of the entity, d of the term and c of the term near the entity, and N texts in all, the
+term discloses
 ``PMI / IC = log(c N / (n d)) / log(N / n)``
 of the entity's information. A term must share some distinct contexts with the entity, so that
-one passage repeated in different documents marks nothing. Terms from a threshold on are marked wherever they occur, with
-or without the entity beside them: generalised, or removed where they disclose all.
+one passage repeated in different documents marks nothing. The names in the local part of an
+address belong to its person and need no such evidence: a name that hardly occurs but in the
+address's documents discloses the address, and one that is a common word does not.
+
+Terms from a threshold on are marked wherever they occur, with or without the entity beside
+them: generalised, or removed where they disclose all.
 """
 
 from __future__ import annotations
 
+import bisect
 import hashlib
+import itertools
 import math
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from viewtide.llm.common import LOWER, SortedHashes, Words, count_keys, flat, row_chunks, sum_by_key, whole_text
@@ -28,6 +34,8 @@ from viewtide.session import materialise
 #: Words on each side that are an entity's context, distinct contexts a term must share with
 #: it, and the shares of its information from which terms are generalised and removed.
 NEAR, LEAST, GENERALISE, REMOVE = 8, 3, 0.95, 1.0
+#: Letters that a name in an address has at least.
+NAME_LETTERS = 3
 #: Terms that are broadcast at once (16 bytes each); more take further passes over the texts.
 MOST_TERMS = 2_000_000
 CHUNK = 1 << 20
@@ -108,21 +116,36 @@ def term_hashes(texts: list[str]) -> list[int]:
     return words.hashes().view(np.int64).tolist()
 
 
-def _contexts(text: str, spans: list[Span], words: Words, hashes: np.ndarray, row: int) -> Iterator[tuple[int, int, int]]:
-    """(entity, term, context) of one text: an entity's context there is all its spans' terms."""
+def _contexts(text: str, spans: list[Span], words: Words, hashes: np.ndarray, row: int) -> Iterator[tuple[int, int | None, int | None]]:
+    """(entity, term, context) of one text: an entity's context there is all its spans' terms.
+
+    The context is null for names in an address.
+    """
     own = slice(words.rows[row], words.rows[row + 1])
     start = words.start[own] - words.text_start[row]
     end = words.end[own] - words.text_start[row]
+    held = hashes[own]
+    # Where each code point begins, and where the text ends.
+    points = np.append(np.flatnonzero((np.frombuffer(text.encode(), np.uint8) & 0xC0) != 0x80), len(text.encode()))
     around: dict[int, list[np.ndarray]] = {}
     for kind, a, b in spans:
-        first, last = len(text[:a].encode()), len(text[:b].encode())
+        first, last = points[a], points[b]
         before, after = np.searchsorted(end, first, "right"), np.searchsorted(start, last)
-        near = np.concatenate((hashes[own][max(0, before - NEAR) : before], hashes[own][after : after + NEAR]))
-        around.setdefault(_entity(kind, text[a:b]), []).append(near)
+        near = np.concatenate((held[max(0, before - NEAR) : before], held[after : after + NEAR]))
+        entity = _entity(kind, text[a:b])
+        if kind == "email" and entity not in around:
+            at = points[a + text[a:b].index("@")]
+            for k in range(np.searchsorted(start, first), np.searchsorted(start, at)):
+                # A local part is ASCII, so its bytes are its code points.
+                name = text[a + start[k] - first : a + end[k] - first]
+                if len(name) >= NAME_LETTERS and not name.isdigit():
+                    yield entity, int(held[k : k + 1].view(np.int64)[0]), None
+        around.setdefault(entity, []).append(near)
     for entity, near in around.items():
         terms = np.unique(np.concatenate(near))
         context = hashlib.blake2b(terms.tobytes(), digest_size=8).digest()
-        for term in terms.view(np.int64).tolist():
+        # An entity by itself has a context without terms.
+        for term in terms.view(np.int64).tolist() or [None]:
             yield entity, term, int.from_bytes(context, "little", signed=True)
 
 
@@ -133,7 +156,7 @@ def count_corpus(docs: DataFrame) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = flat(batch.column("text"))
-            found: list[tuple[int, int, int]] = []
+            found: list[tuple[int, int | None, int | None]] = []
             total = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
             for begin, stop in row_chunks(offsets, CHUNK):
                 part = offsets[begin : stop + 1]
@@ -167,22 +190,24 @@ def count_corpus(docs: DataFrame) -> DataFrame:
 def revealing_terms(docs: DataFrame, least: int = LEAST, generalise: float = GENERALISE) -> DataFrame:
     """Rows (term, disclosure): terms that disclose an entity, with the largest share of it.
 
-    Terms are counted in distinct texts; all rows of ``docs`` only scale the information.
+    Texts that occur in several rows of ``docs`` count once everywhere.
     """
     # Copies are combined before the shuffle, so a hot text is one row of each task.
     counted = materialise(count_corpus(docs.select("text").distinct()), "terms")
-    n_docs = docs.count()
-    near = counted.filter("entity IS NOT NULL")
+    n_texts = docs.select(F.xxhash64("text").alias("version")).distinct().count()
+    near = counted.filter("context IS NOT NULL")
     contexts = near.groupBy("entity", "term", "context").agg(F.count(F.lit(1)).alias("n"))
-    # A document has one context of an entity, and that has the same terms wherever it is.
+    # A text has one context of an entity, and that has the same terms wherever it is.
     each = contexts.groupBy("entity", "context").agg(F.max("n").alias("n"))
     of_entity = each.groupBy("entity").agg(F.sum("n").alias("n_entity"))
     both = contexts.groupBy("entity", "term").agg(F.sum("n").alias("n_both"), F.count(F.lit(1)).alias("n_contexts"))
-    both = both.filter(F.col("n_contexts") >= least)
+    both = both.filter(F.col("n_contexts") >= least).drop("n_contexts")
+    names = counted.filter("entity IS NOT NULL AND context IS NULL").groupBy("entity", "term")
+    both = both.unionByName(names.agg(F.count(F.lit(1)).alias("n_both")))
     of_term = counted.filter("entity IS NULL").groupBy("term").agg(F.sum("n").alias("n_term"))
     joined = both.join(of_entity, "entity").join(of_term, "term")
     rate = F.col("n_both") / F.col("n_term")
-    information = F.log(F.lit(float(max(n_docs, 2))) / F.col("n_entity"))
+    information = F.log(F.lit(float(max(n_texts, 2))) / F.col("n_entity"))
     disclosed = F.when(information > 0, 1 + F.log(rate) / information).otherwise(F.lit(0.0))
     shares = joined.select("term", disclosed.alias("disclosure"))
     return shares.filter(F.col("disclosure") >= generalise).groupBy("term").agg(F.max("disclosure").alias("disclosure"))
@@ -241,9 +266,13 @@ def find_personal(docs: DataFrame, terms: DataFrame, most: int = MOST_TERMS) ->
                         spans = [
                             {"kind": name, "start": a, "stop": b, "whole": False} for name, a, b in base_spans(text or "")
                         ]
-                    base = [(s["start"], s["stop"]) for s in spans if s["kind"] != "term"]
+                    # How far base spans reach that begin before a place.
+                    base = sorted((s["start"], s["stop"]) for s in spans if s["kind"] != "term")
+                    starts = [x for x, _ in base]
+                    reach = list(itertools.accumulate((y for _, y in base), max))
                     for a, b, whole in found:
-                        if not any(a < y and x < b for x, y in base):
+                        before = bisect.bisect_left(starts, b)
+                        if not before or reach[before - 1] <= a:
                             spans.append({"kind": "term", "start": a, "stop": b, "whole": whole})
                     spans.sort(key=lambda s: ((*KINDS, "term").index(s["kind"]), s["start"]))
                     made.append(spans)
@@ -257,7 +286,7 @@ def find_personal(docs: DataFrame, terms: DataFrame, most: int = MOST_TERMS) ->
     return docs
 
 
-def digest(found: DataFrame) -> DataFrame:
+def digest(found: DataFrame, *more: Column) -> DataFrame:
     """Counts by kind, the hash of the base spans, and all spans as ``kind:start:end``."""
     counts = {
         kind: F.size(F.expr(f"filter(personal, s -> s.kind = '{kind}')")).cast("long").alias(f"n_{kind}")
@@ -274,13 +303,14 @@ def digest(found: DataFrame) -> DataFrame:
         F.sha2(written(base), 256).alias("base_sha256"),
         written(F.col("personal")).alias("spans"),
         counts["term"],
+        *more,
     )
 
 
-def sanitise(found: DataFrame) -> DataFrame:
+def sanitise(found: DataFrame, keep: bool = False) -> DataFrame:
     """Replace the spans of ``personal`` in ``text`` by marks; terms that disclose all go.
 
-    Where base spans overlap, the one that starts first (the longer of equals) stands.
+    With ``keep`` the spans, which are places in the old text, stay beside the new one. Where base spans overlap, the one that starts first (the longer of equals) stands.
     """
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -300,10 +330,22 @@ def sanitise(found: DataFrame) -> DataFrame:
             columns[place] = pa.array(out, pa.string())
             yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
 
-    return found.mapInArrow(clean, found.schema).drop("personal")
+    made = found.mapInArrow(clean, found.schema)
+    return made if keep else made.drop("personal")
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """The digest of every row of ``docs`` (doc_id, text); terms are learnt from all rows."""
+    """The digest of every row of ``docs`` (doc_id, text); terms are learnt from all rows.
+
+    Added are how many terms are generalised and removed, and the hash of the text that is left.
+    """
     docs = docs.select("doc_id", whole_text().alias("text"))
-    return digest(find_personal(docs, materialise(revealing_terms(docs), "terms")))
+    found = find_personal(docs, materialise(revealing_terms(docs), "terms"))
+    gone = F.size(F.expr("filter(personal, s -> s.kind = 'term' AND s.whole)")).cast("long").alias("n_removed")
+    cleaned = sanitise(found, keep=True)
+    return digest(
+        cleaned,
+        gone,
+        F.size(F.expr("filter(personal, s -> s.kind = 'term' AND NOT s.whole)")).cast("long").alias("n_generalised"),
+        F.sha2(F.col("text"), 256).alias("sanitised_sha256"),
+    )
