@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from viewtide.llm.common import LOWER, SortedHashes, Words, count_keys, flat, mix, row_chunks, smaller_batches, whole_text, word_windows
+from viewtide.llm.common import LOWER, SortedHashes, Words, count_keys, flat, frugal, mix, row_chunks, smaller_batches, whole_text, word_windows
 from viewtide.llm.components import components
 from viewtide.session import materialise
 
@@ -124,7 +124,7 @@ def signatures(docs: DataFrame) -> DataFrame:
                 ["doc_id", "version", "id", "n", "light", "shingle", "c"],
             )
 
-    return docs.mapInArrow(sign, f"doc_id {kind}, version long, id long, n long, light binary, shingle long, c long")
+    return docs.mapInArrow(frugal(sign), f"doc_id {kind}, version long, id long, n long, light binary, shingle long, c long")
 
 
 def light_boundary(histogram: dict[int, int]) -> int:
@@ -231,7 +231,7 @@ def inverted_lists(docs: DataFrame, frequent: pa.Table, least: int) -> DataFrame
                 ["shingle", "part", "parts", "id", "n", "k"],
             )
 
-    rows = docs.select("text").mapInArrow(list_first, "shingle long, part int, parts int, id long, n int, k int")
+    rows = docs.select("text").mapInArrow(frugal(list_first), "shingle long, part int, parts int, id long, n int, k int")
     together = Window.partitionBy("shingle", "part")
     rows = rows.select("*", F.min("id").over(together).alias("low"), F.max("id").over(together).alias("high"))
     return rows.filter("low <> high OR parts > 1").drop("low", "high").distinct()
@@ -263,7 +263,7 @@ def ordered_lists(sets: DataFrame) -> DataFrame:
                 ["shingle", "id", "n"],
             )
 
-    rows = sets.select("id", "shingles").mapInArrow(spread, "shingle long, id long, n int")
+    rows = sets.select("id", "shingles").mapInArrow(frugal(spread), "shingle long, id long, n int")
     lengths = rows.groupBy(F.col("shingle").alias("of")).agg(F.count(F.lit(1)).alias("length"))
     # A set's rows are as many as it has shingles.
     of_set = Window.partitionBy("id")
@@ -301,7 +301,7 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         .join(sets.select(F.col("id").alias("u"), F.col("shingles").alias("a")), "u")
         .join(sets.select(F.col("id").alias("v"), F.col("shingles").alias("b")), "v")
     )
-    return both.select("u", "v", "a", "b").mapInArrow(check, "u long, v long")
+    return both.select("u", "v", "a", "b").mapInArrow(frugal(check), "u long, v long")
 
 
 def sets_of(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -317,7 +317,7 @@ def sets_of(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame
             )
 
     texts = docs.join(named, docs["doc_id"].eqNullSafe(named["doc_id"]), "left_semi").select("text")
-    return texts.mapInArrow(build, "id long, shingles binary").join(wanted, "id", "left_semi").dropDuplicates(["id"])
+    return texts.mapInArrow(frugal(build), "id long, shingles binary").join(wanted, "id", "left_semi").dropDuplicates(["id"])
 
 
 def heavy_edges(sets: DataFrame, edges: DataFrame) -> DataFrame:
