@@ -62,13 +62,12 @@ class RepeatedRows:
         )
         more = F.col("__copies") - 1
         again = copies_of(self.candidates()).agg(
-            _sum(more).alias("duplicate_rows"), _sum(F.when(usable(df, critical), more)).alias("usable_again")
-        )
-        # Both sides are one row.
-        return whole.withColumn("__one", F.lit(1)).join(again.withColumn("__one", F.lit(1)), "__one").select(
+            _sum(more).alias("rows"), _sum(F.when(usable(df, critical), more)).alias("usable")
+        ).first()
+        return whole.select(
             "total_rows",
-            "duplicate_rows",
-            (F.col("usable_rows") - F.col("usable_again")).alias("rows_after"),
+            F.lit(again["rows"]).cast("long").alias("duplicate_rows"),
+            (F.col("usable_rows") - F.lit(again["usable"])).alias("rows_after"),
             *names,
             *[f"present_{i}" for i in range(len(df.columns))],
         )

@@ -200,9 +200,10 @@ def predicted_ratings(model: RatingModel, pairs: DataFrame) -> DataFrame:
 def recommendations(model: RatingModel, n: int = 10) -> DataFrame:
     """The ``n`` items with the highest prediction for each known user, under their own ids.
 
-    Factors are multiplied block by block, and each block keeps a user's best.
+    Factors are multiplied block by block, and each block keeps a user's best. The lists are
+    written, so that nothing that reads them multiplies again.
     """
-    best = model.factors.recommendForAllUsers(n)
+    best = materialise(model.factors.recommendForAllUsers(n), "recommended")
     ranked = best.select("__user", F.posexplode("recommendations").alias("__at", "__of")).select(
         "__user",
         (F.col("__at") + 1).alias("position"),
