@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import gc
 import math
 
 import numpy as np
@@ -78,6 +79,16 @@ def give_back() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
+def drop_shuffles(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of plans that are no longer in use.
+
+    It does so when the driver's collectors have found the plans, which may otherwise be
+    long after a stage that filled the disks.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def frugal(run):
     """A ``mapInArrow`` function whose worker keeps no freed memory when its task has ended."""
 

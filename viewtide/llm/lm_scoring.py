@@ -25,6 +25,7 @@ from viewtide.llm.common import (
     SortedHashes,
     Words,
     count_keys,
+    drop_shuffles,
     flat,
     give_back,
     row_chunks,
@@ -229,6 +230,8 @@ def score_texts(docs: DataFrame, depth: int = DEPTH, block_bytes: int = BLOCK_BY
         "counts",
         "zstd",
     )
+    # The texts' first shuffle is done with; they move once more, to be scored.
+    drop_shuffles(spark)
     grams = counts.filter("NOT is_word").select("block", F.col("key").alias("gram"), "n")
     model = gram_model(grams.select("gram", "n"), depth)
     of_word = Window.partitionBy("key")
@@ -238,6 +241,7 @@ def score_texts(docs: DataFrame, depth: int = DEPTH, block_bytes: int = BLOCK_BY
         .select("block", "key", "c", F.expr("block = first").alias("first")),
         "words",
     )
+    drop_shuffles(spark)
     # The end token counts once for each training text, and is one of the distinct tokens.
     ends = docs.filter(~F.col("held_out")).count()
     sums = words.filter("first AND c > 0").agg(F.sum("c").alias("n"), F.count("c").alias("v")).first()
