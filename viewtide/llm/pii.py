@@ -21,14 +21,25 @@ import hashlib
 import itertools
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from viewtide.llm.common import LOWER, SortedHashes, Words, count_keys, flat, row_chunks, sum_by_key, whole_text
+from viewtide.llm.common import (
+    LOWER,
+    SortedHashes,
+    Words,
+    count_keys,
+    flat,
+    frugal,
+    row_chunks,
+    smaller_batches,
+    sum_by_key,
+    whole_text,
+)
 from viewtide.session import materialise
 
 #: Words on each side that are an entity's context, distinct contexts a term must share with
@@ -38,7 +49,8 @@ NEAR, LEAST, GENERALISE, REMOVE = 8, 3, 0.95, 1.0
 NAME_LETTERS = 3
 #: Terms that are broadcast at once (16 bytes each); more take further passes over the texts.
 MOST_TERMS = 2_000_000
-CHUNK = 1 << 20
+#: Bytes of text that are held as arrays at once, and of text in a batch.
+CHUNK, BATCH = 1 << 20, 4 << 20
 
 #: The kinds in the order in which they are listed.
 KINDS = ("email", "ip", "card", "phone")
@@ -154,7 +166,7 @@ def count_corpus(docs: DataFrame) -> DataFrame:
     null ones the documents of terms."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in smaller_batches(batches, BATCH):
             data, offsets = flat(batch.column("text"))
             found: list[tuple[int, int | None, int | None]] = []
             total = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
@@ -184,7 +196,7 @@ def count_corpus(docs: DataFrame) -> DataFrame:
                 ["entity", "term", "context", "n"],
             )
 
-    return docs.select("text").mapInArrow(count, "entity long, term long, context long, n long")
+    return docs.select("text").mapInArrow(frugal(count), "entity long, term long, context long, n long")
 
 
 def revealing_terms(docs: DataFrame, least: int = LEAST, generalise: float = GENERALISE) -> DataFrame:
@@ -233,12 +245,18 @@ def _term_spans(known: SortedHashes, texts: pa.Array) -> Iterator[list[tuple[int
         yield from out
 
 
-def find_personal(docs: DataFrame, terms: DataFrame, most: int = MOST_TERMS) -> DataFrame:
+Batches = Iterator[pa.RecordBatch]
+
+
+def find_personal(
+    docs: DataFrame, terms: DataFrame, most: int = MOST_TERMS, then: Callable[[Batches], Batches] | None = None
+) -> DataFrame:
     """Add ``personal``, an array of (kind, start, stop, whole), to every row of ``docs``.
 
     Spans come by kind as listed, terms last, then by start; places are code points. Terms
     inside or across a base span are left to it. A null text has none. An input column of
-    that name is replaced; repeated rows each give their own.
+    that name is replaced; repeated rows each give their own. ``then`` gets the rows with
+    their spans in the same tasks.
     """
     docs = docs.drop("personal")
     spark = docs.sparkSession
@@ -256,7 +274,7 @@ def find_personal(docs: DataFrame, terms: DataFrame, most: int = MOST_TERMS) ->
         names = [name for name in docs.columns if name != "personal"]
 
         def mark(batches: Iterator[pa.RecordBatch], held=held, first=k == 0, names=names) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in smaller_batches(batches, BATCH):
                 texts = batch.column("text")
                 made = []
                 had = [None] * batch.num_rows if first else batch.column("personal").to_pylist()
@@ -280,7 +298,9 @@ def find_personal(docs: DataFrame, terms: DataFrame, most: int = MOST_TERMS) ->
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(made, kind)], [*names, "personal"])
 
         fields = [docs.schema[name] for name in names] + schema.fields
-        docs = docs.mapInArrow(mark, type(schema)(fields))
+        last = then is not None and k == passes - 1
+        run = (lambda batches, mark=mark: then(mark(batches))) if last else mark
+        docs = docs.mapInArrow(frugal(run), type(schema)(fields))
         if k < passes - 1:
             docs = materialise(docs, "personal")
     return docs
@@ -307,31 +327,30 @@ def digest(found: DataFrame, *more: Column) -> DataFrame:
     )
 
 
-def sanitise(found: DataFrame, keep: bool = False) -> DataFrame:
+def _sanitised(batches: Batches) -> Batches:
+    for batch in batches:
+        place = batch.schema.get_field_index("text")
+        out = []
+        for text, spans in zip(batch.column("text").to_pylist(), batch.column("personal").to_pylist(), strict=True):
+            parts, at = [], 0
+            for s in sorted(spans or [], key=lambda s: (s["start"], -s["stop"])):
+                if s["start"] >= at:
+                    mark = MARKS.get(s["kind"]) or ("" if s["whole"] else "[TERM]")
+                    parts += [text[at : s["start"]], mark]
+                # What is left of an overlapping span is covered by the mark before it.
+                at = max(at, s["stop"])
+            out.append("".join([*parts, text[at:]]) if parts else text)
+        columns = batch.columns
+        columns[place] = pa.array(out, pa.string())
+        yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
+
+
+def sanitise(found: DataFrame) -> DataFrame:
     """Replace the spans of ``personal`` in ``text`` by marks; terms that disclose all go.
 
-    With ``keep`` the spans, which are places in the old text, stay beside the new one. Where base spans overlap, the one that starts first (the longer of equals) stands.
+    Where base spans overlap, the one that starts first (the longer of equals) stands.
     """
-
-    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            place = batch.schema.get_field_index("text")
-            out = []
-            for text, spans in zip(batch.column("text").to_pylist(), batch.column("personal").to_pylist(), strict=True):
-                parts, at = [], 0
-                for s in sorted(spans or [], key=lambda s: (s["start"], -s["stop"])):
-                    if s["start"] >= at:
-                        mark = MARKS.get(s["kind"]) or ("" if s["whole"] else "[TERM]")
-                        parts += [text[at : s["start"]], mark]
-                    # What is left of an overlapping span is covered by the mark before it.
-                    at = max(at, s["stop"])
-                out.append("".join([*parts, text[at:]]) if parts else text)
-            columns = batch.columns
-            columns[place] = pa.array(out, pa.string())
-            yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
-
-    made = found.mapInArrow(clean, found.schema)
-    return made if keep else made.drop("personal")
+    return found.mapInArrow(frugal(_sanitised), found.schema).drop("personal")
 
 
 def scan(docs: DataFrame) -> DataFrame:
@@ -340,11 +359,11 @@ def scan(docs: DataFrame) -> DataFrame:
     Added are how many terms are generalised and removed, and the hash of the text that is left.
     """
     docs = docs.select("doc_id", whole_text().alias("text"))
-    found = find_personal(docs, materialise(revealing_terms(docs), "terms"))
+    # The spans stay as they were found; the text beside them is what is left.
+    found = find_personal(docs, materialise(revealing_terms(docs), "terms"), then=_sanitised)
     gone = F.size(F.expr("filter(personal, s -> s.kind = 'term' AND s.whole)")).cast("long").alias("n_removed")
-    cleaned = sanitise(found, keep=True)
     return digest(
-        cleaned,
+        found,
         gone,
         F.size(F.expr("filter(personal, s -> s.kind = 'term' AND NOT s.whole)")).cast("long").alias("n_generalised"),
         F.sha2(F.col("text"), 256).alias("sanitised_sha256"),
