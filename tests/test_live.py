@@ -154,6 +154,17 @@ def test_a_write_made_before_is_not_made_again(spark):
     assert table.replace(one.limit(0), ["y"], 5) and table.read().count() == 2
 
 
+def test_partitions_of_any_value(spark):
+    """Values that paths cannot hold, and none at all."""
+    table = VersionedTable(spark, scratch_path(spark, "table"), "day")
+    rows = spark.createDataFrame([(1, "a/b: c=%?"), (2, None), (3, "null"), (4, "")], "key long, day string")
+    assert len(table.upsert(rows, ["key"], 0)) == 4
+    table.upsert(spark.createDataFrame([(2, None), (5, None)], rows.schema), ["key"], 1)
+    found = sorted((r.key, r.day) for r in table.read().collect())
+    assert found == [(1, "a/b: c=%?"), (2, None), (3, "null"), (4, ""), (5, None)]
+    assert [r.key for r in table.read(["a/b: c=%?"]).collect()] == [1] and table.read([None]).count() == 2
+
+
 # -- late rows ------------------------------------------------------------------------------
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from functools import reduce
+from hashlib import md5
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +14,21 @@ from pyspark.sql.types import StructType
 from viewtide.sinks.ledger import Ledger
 
 CURRENT = "current"
+NO_VALUE = "null"
+
+
+def _named(column: Column) -> Column:
+    """A partition's name: its value as text behind a sign, so that NULL is told apart."""
+    return F.coalesce(F.concat(F.lit("="), column.cast("string")), F.lit(NO_VALUE))
+
+
+def _name(value: str | None) -> str:
+    return NO_VALUE if value is None else f"={value}"
+
+
+def _folder(name: str) -> str:
+    """The folder of a partition; a digest, as values may hold what paths may not."""
+    return md5(name.encode(), usedforsecurity=False).hexdigest()
 
 
 class VersionedTable:
@@ -39,32 +55,35 @@ class VersionedTable:
         note = self.current()
         return note["number"] if note else -1
 
-    def read(self, only: Sequence[str] | None = None) -> DataFrame | None:
+    def read(self, only: Sequence[str | None] | None = None) -> DataFrame | None:
         """The table as of now, or some of its partitions; None before the first write."""
         note = self.current()
         if note is None:
             return None
         parts = note["parts"]
-        paths = [path for name, path in sorted(parts.items()) if only is None or name in only]
+        wanted = None if only is None else {_name(value) for value in only}
+        paths = [path for name, path in sorted(parts.items()) if wanted is None or name in wanted]
         schema = StructType.fromJson(note["schema"])
         if not paths:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*paths)
 
-    def replace(self, rows: DataFrame, touched: Sequence[str], number: int) -> bool:
+    def replace(self, rows: DataFrame, touched: Sequence[str | None], number: int) -> bool:
         """Put ``rows`` in place of the partitions ``touched``; False if that was done before."""
         note = self.current() or {"number": -1, "parts": {}, "leaving": [], "schema": None}
         if number <= note["number"]:
             return False
         data = f"{self.location}/{number}-{uuid4().hex}"
-        named = rows.withColumn("_part", F.col(self.partition).cast("string"))
+        named = rows.withColumn("_part", F.md5(_named(F.col(self.partition)).cast("binary")))
         # Whole files for each partition, and several where one is heavy.
         named.hint("rebalance", "_part").write.partitionBy("_part").parquet(data)
         parts = dict(note["parts"])
-        leaving = [parts.pop(name) for name in touched if name in parts]
-        for name in touched:
-            if self.notes.exists(f"{data}/_part={name}"):
-                parts[name] = f"{data}/_part={name}"
+        names = [_name(value) for value in touched]
+        leaving = [parts.pop(name) for name in names if name in parts]
+        for name in names:
+            path = f"{data}/_part={_folder(name)}"
+            if self.notes.exists(path):
+                parts[name] = path
         schema = rows.schema.jsonValue()
         gone = note["leaving"]
         self.notes.put(CURRENT, {"number": number, "parts": parts, "leaving": leaving, "schema": schema})
@@ -72,7 +91,7 @@ class VersionedTable:
             self.notes.delete_data(path)
         return True
 
-    def upsert(self, rows: DataFrame, keys: Sequence[str], number: int) -> list[str]:
+    def upsert(self, rows: DataFrame, keys: Sequence[str], number: int) -> list[str | None]:
         """Replace the rows of equal ``keys`` and add the others; the partitions touched.
 
         Only partitions that ``rows`` belong to are read and written.
