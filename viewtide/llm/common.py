@@ -6,6 +6,7 @@ import contextlib
 import ctypes
 import gc
 import math
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -85,7 +86,9 @@ def drop_shuffles(spark: SparkSession) -> None:
     It does so when the driver's collectors have found the plans, which may otherwise be
     long after a stage that filled the disks.
     """
+    # Python gives up its plans in a thread of its own, a moment after they are collected.
     gc.collect()
+    time.sleep(0.5)
     spark.sparkContext._jvm.System.gc()
 
 
