@@ -61,6 +61,53 @@ def test_only_hashes_are_shuffled(spark):
     assert not any(f"c{i}#" in line for line in (exchange, partial) for i in range(12))
 
 
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture(scope="module")
+def many(spark):
+    """Rows of which a tenth repeats, by a join; and how many there are."""
+    left = spark.range(40_000).select(F.col("id").alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("text"))
+    right = spark.range(40_000).select(F.col("id").alias("k"), F.when(F.col("id") % 10 == 0, 2).otherwise(1).alias("n"))
+    return left.join(right, "k").withColumn("copy", F.explode(F.sequence(F.lit(1), "n"))).drop("copy", "n")
+
+
+def test_rows_are_found_by_a_bitmap_and_not_made_again(spark, many, rows):
+    """Without joins by size, wide rows still are not shuffled, and the table's own join runs once."""
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        found = copies.repeated_rows(many)
+        assert found.hashes.count() == 4000
+        few = found._by_bitmap("left_semi")
+        assert "SortMergeJoin" not in _plan(few) and "Exchange hash" not in _plan(few)
+        assert 8000 <= few.count() < 12_000
+        assert few.count() + found._by_bitmap("left_anti").count() == 44_000
+        assert rows(found.candidates().groupBy().count()) == [(8000,)]
+        assert _plan(found.distinct()).count("SortMergeJoin") == 0
+        assert rows(found.distinct()) == rows(many.distinct())
+        assert found.profile(["text"]).first() == quality.table_profile(many, ["text"]).first()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_bitmaps_are_bounded_and_may_be_too_small(many, rows, monkeypatch):
+    assert [copies._bitmaps_for(n) for n in (0, 1, 2048, 2049, 10_000, 10**12)] == [1, 1, 1, 2, 8, copies.MOST_BITMAPS]
+    monkeypatch.setattr(copies, "MOST_BITMAPS", 1)
+    monkeypatch.setattr(copies, "BITMAP_BITS", 64)
+    found = copies.repeated_rows(many)
+    assert found.count == 1 and found.distinct().count() == 40_000
+    assert found.profile().first() == quality.table_profile(many).first()
+
+
+def test_stored_rows_keep_names_and_empty_columns(spark):
+    odd = spark.createDataFrame([(1, "a"), (1, "a"), (2, None)], "`a b,(c)` int, `x.y` string").withColumn("void", F.lit(None))
+    found = copies.repeated_rows(odd)
+    assert found.distinct().schema == odd.schema and found.distinct().count() == 2
+    assert found.profile().first() == quality.table_profile(odd).first()
+
+
 # -- bit sets -------------------------------------------------------------------------------
 
 

@@ -67,8 +67,8 @@ def run_batch(
     """Clean all tables, write them, and write the five engagement results.
 
     Copies are found by row hashes, so cleaning shuffles only rows whose hash
-    repeats. A raw table is read for its hashes, for its profile, which feeds both
-    reports and names the empty columns, and to be cleaned. The cleaned
+    repeats. A raw table is made once and stored; that copy is read for its hashes, for its
+    profile, which feeds both reports and names the empty columns, and to be cleaned. The cleaned
     tables and the star are written and read back rather than cached: five
     results scan only the star columns they use, and a lost executor costs a
     file read instead of the whole lineage. The user metrics share one rollup.

@@ -27,7 +27,7 @@ def wide_duplicate_report(spark, sf_dir):
 
 @query("wide_clean_table", CATALOG["clean_table"].text)
 def wide_clean_table(spark, sf_dir):
-    """Distinct rows, of which only those with a repeated hash are shuffled whole."""
+    """Distinct rows, of which only those with the bit of a repeated hash are shuffled whole."""
     rows = copies.repeated_rows(domain.raw_watch(spark, sf_dir))
     filled = quality.filled_columns(rows.df)
     single = rows.distinct().select(*filled)
