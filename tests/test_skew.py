@@ -105,3 +105,35 @@ def test_large_dimension_is_not_broadcast_by_hint(spark, tables, unbroadcast):
     )
     assert joined.count() == 200000
     assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
+
+
+def test_ratings_meet_sessions_before_titles_do(spark, tables, unbroadcast):
+    """The outer join with the ratings is the deepest, so titles and plans are in no shuffle below the last."""
+    star = star_join(*tables)
+    joins = [line for line in star._jdf.queryExecution().executedPlan().toString().splitlines() if "SortMergeJoin" in line]
+    assert len(joins) == 3 and "LeftOuter" in joins[-1]
+
+
+def test_retention_moves_user_months_once(spark, rows):
+    months = materialise(
+        spark.range(400).selectExpr(
+            "id % 50 AS user_id", "CAST(2023 + id % 2 AS INT) AS watch_year", "CAST(1 + id % 12 AS INT) AS watch_month",
+            "make_timestamp(CAST(2023 + id % 2 AS INT), CAST(1 + id % 12 AS INT), 3, 0, 0, 0) AS first_watch_date",
+        ),
+        "months",
+    )
+    found = metrics.retention_from(months)
+    assert found._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2
+    renamed = months.withColumnRenamed("first_watch_date", "watch_date_parsed")
+    assert rows(found) == rows(metrics.cohort_retention(renamed))
+
+
+def test_user_months_group_rebalanced_rows(spark, tables, monkeypatch, rows):
+    from viewtide.plans import queries_batch
+
+    watch, users, movies, _ = tables
+    star = materialise(valid_sessions(star_join(watch, users, movies)), "star")
+    monkeypatch.setattr(queries_batch, "sessions", lambda spark, sf_dir: star)
+    found = queries_batch.user_months(spark, "")
+    assert "REBALANCE_PARTITIONS_BY_NONE" in found._jdf.queryExecution().executedPlan().toString()
+    assert rows(found) == rows(metrics.user_months(star))

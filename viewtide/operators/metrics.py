@@ -192,8 +192,12 @@ def cohort_retention(sessions: DataFrame) -> DataFrame:
 
 
 def retention_from(months: DataFrame) -> DataFrame:
-    """:func:`cohort_retention` from :func:`user_months`."""
-    return _retention(_active_months(months, "first_watch_date"))
+    """:func:`cohort_retention` from :func:`user_months`.
+
+    A user has a row a month at most for each country and plan, so one exchange by user
+    serves both the grouping and the cohort.
+    """
+    return _retention(_active_months(months.repartition("user_id"), "first_watch_date"))
 
 
 def retention_rate(retention: DataFrame) -> DataFrame:

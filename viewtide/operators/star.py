@@ -30,10 +30,12 @@ def star_join(
     provided what follows is grouped by something else; metrics grouped by user
     should start from :func:`star_user_months`.
     """
-    star = watch.join(users, "user_id").join(items, "movie_id")
     if reviews is None:
-        return star
-    return star.drop("user_rating").join(review_ratings(reviews), ["user_id", "movie_id"], "left")
+        return watch.join(users, "user_id").join(items, "movie_id")
+    # The widest side comes last: ratings meet sessions that carry nothing else yet, and titles
+    # are carried by no shuffle of the joins.
+    rated = watch.drop("user_rating").join(review_ratings(reviews), ["user_id", "movie_id"], "left")
+    return rated.join(users.drop("user_rating"), "user_id").join(items.drop("user_rating"), "movie_id")
 
 
 def valid_sessions(star: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewtide.functions.eventtime import with_watch_month
+from viewtide.functions.eventtime import parsed_time, with_watch_month
 from viewtide.functions.missing import quoted
 from viewtide.operators import metrics
 from viewtide.operators.cleaning import drop_missing
@@ -128,13 +128,16 @@ def run_batch(
         return spark.read.format(cleaned_sink.format).load(cleaned[name])
 
     def star() -> DataFrame:
-        joined = with_watch_month(
+        dated = with_watch_month(
             star_join(stored("watch_history"), stored("users"), stored("movies"), stored("reviews"))
         )
         # Rebalancing by month gives whole files per month without letting a
-        # heavy month end in one task: large partitions are split.
-        columns = [c for c in STAR_COLUMNS if c in joined.columns]
-        return joined.select(*columns).hint("rebalance", *metrics.MONTH)
+        # heavy month end in one task: large partitions are split. The parsed
+        # date is made again behind the exchange.
+        columns = [c for c in STAR_COLUMNS if c in dated.columns]
+        carried = [c for c in columns if c != "watch_date_parsed"]
+        by_month = dated.select(*carried).hint("rebalance", *metrics.MONTH)
+        return by_month.withColumn("watch_date_parsed", parsed_time(by_month, "watch_date")).select(*columns)
 
     results = {
         "star": write(
