@@ -293,3 +293,12 @@ def test_recommendations_under_text_ids(spark):
     known = spark.createDataFrame(rows, "user_id string, movie_id string, user_rating double")
     own, constant = models.rating_errors(models.predicted_ratings(model, known), model.mean)
     assert own < 0.5 < constant
+
+
+def test_known_and_unknown_pairs_share_their_joins(spark):
+    rows = [(f"u{u}", f"m{m}", float(u % 5)) for u in range(20) for m in range(16)]
+    model = models.rating_model(spark.createDataFrame(rows, "user_id string, movie_id string, user_rating double"), rank=2, iterations=2)
+    pairs = spark.createDataFrame([("u1", "m1"), ("u1", "none"), ("none", "m1"), (None, None)], "user_id string, movie_id string")
+    found = models.predicted_ratings(model, pairs)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Join LeftOuter") == 4
+    assert sum(r["predicted_rating"] is None for r in found.collect()) == 3

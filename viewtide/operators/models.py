@@ -186,15 +186,16 @@ def rating_model(ratings: DataFrame, rank: int = 10, iterations: int = 10, reg:
 
 
 def predicted_ratings(model: RatingModel, pairs: DataFrame) -> DataFrame:
-    """All given pairs with a prediction; NULL for unseen users or items."""
+    """All given pairs with a prediction; NULL for unseen users or items.
+
+    Unseen ids have a number without factors: known and unknown pairs go through the same
+    joins, once.
+    """
     columns = pairs.columns
-    numbered = model._numbered(pairs)
-    seen = F.col("__user").isNotNull() & F.col("__item").isNotNull()
-    found = model.factors.transform(numbered.filter(seen))
+    numbers = {name: F.coalesce(name, F.lit(-1)) for name in ("__user", "__item")}
+    found = model.factors.transform(model._numbered(pairs).withColumns(numbers))
     over = F.when(~F.isnan("prediction"), F.col("prediction").cast("double") + model.mean)
-    found = found.select(*columns, over.alias("predicted_rating"))
-    rest = numbered.filter(~seen).select(*columns, F.lit(None).cast("double").alias("predicted_rating"))
-    return found.unionByName(rest)
+    return found.select(*columns, over.alias("predicted_rating"))
 
 
 def recommendations(model: RatingModel, n: int = 10) -> DataFrame:
