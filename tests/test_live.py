@@ -269,3 +269,24 @@ def test_merged_sketches_stay_within_their_bounds(spark):
 def test_no_users_count_zero(spark):
     events = spark.createDataFrame([event(1, 0, None, 1)], SCHEMA).withColumn("user_id", F.lit(None).cast("long"))
     assert sketches.with_viewers(sketches.viewer_windows(events)).first()["viewers"] == 0
+
+
+@pytest.mark.parametrize("rows_a_file, files", [(5, 5), (1000, 1)])
+def test_slices_of_several_files_are_a_batch_each(spark, tmp_path, monkeypatch, rows_a_file, files):
+    from viewtide.plans import domain
+    from viewtide.plans.queries_streams import once
+    from viewtide.streaming.queries import add_batch, finish, to_batches
+
+    monkeypatch.setattr(domain, "FILE_ROWS", rows_a_file)
+    monkeypatch.setattr(domain, "MOST_FILES", 5)
+    spark.range(3000).selectExpr(
+        "id AS event_id", "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(CAST(id % 30 AS INT)) AS ts",
+        "id % 7 AS user_id", "'click' AS event_type", "CAST(id AS DOUBLE) AS value", "'{}' AS props",
+    ).write.parquet(str(tmp_path / "events.parquet"))
+    path = domain.event_slices(spark, str(tmp_path))
+    assert len(spark.read.parquet(path).inputFiles()) == files * domain.SLICES
+    out = str(tmp_path / "out")
+    stream = domain.sliced_stream(spark, path, str(tmp_path))
+    finish(to_batches(stream, {"kept": add_batch(out)}, once(spark), mode="append"))
+    own = lambda k: min(k % 30 // 5, 5) + (3 if k % 13 == 0 else 0)
+    assert sorted((r.event_id, r.batch) for r in spark.read.parquet(out).collect()) == [(k, own(k)) for k in range(3000)]

@@ -204,25 +204,34 @@ def event_stream(spark: SparkSession, sf_dir: str, max_files: int = 1000) -> Dat
 
 #: Parts of the month in which the sliced stream comes, and how many parts some events are late.
 SLICE_DAYS, LATE_SLICES, SLICES = 5, 3, 9
+#: Events of the smallest slice for each of its files, and the most files of a slice.
+FILE_ROWS, MOST_FILES = 20_000, 64
 
 
 def event_slices(spark: SparkSession, sf_dir: str) -> str:
-    """The events as one file a slice, in the order in which a stream is to read them.
+    """The events as files, as many a slice, in the order in which a stream is to read them.
 
-    A slice has the events of five days; every 13th event comes three slices late.
+    A slice has the events of five days; every 13th event comes three slices late. All slices
+    have the same number of files, one where a slice is small.
     """
     rows = table(spark, sf_dir, "events")
     own = F.least(F.floor((F.dayofmonth("ts") - 1) / SLICE_DAYS), F.lit(SLICES - LATE_SLICES - 1))
     late = F.when(F.col("event_id") % 13 == 0, LATE_SLICES).otherwise(0)
+    slices = [own + late == k for k in range(SLICES)]
+    counts = rows.agg(*[F.count_if(inside).alias(f"n{k}") for k, inside in enumerate(slices)]).first()
+    files = max(1, min(MOST_FILES, min(counts) // FILE_ROWS))
     path = scratch_path(spark, "slices")
-    for k in range(SLICES):
+    for inside in slices:
         # A file stream reads files in the order of their times.
-        rows.filter(own + late == k).coalesce(1).write.mode("append").parquet(path)
+        part = rows.filter(inside)
+        part = part.coalesce(1) if files == 1 else part.repartition(files)
+        part.write.mode("append").parquet(path)
     return path
 
 
 def sliced_stream(spark: SparkSession, path: str, sf_dir: str) -> DataFrame:
     """The slices as a stream, one a batch."""
     schema = table(spark, sf_dir, "events").schema
-    rows = read_event_files(spark, path, schema, 1, "parquet")
+    files = len(spark.read.schema(schema).parquet(path).inputFiles()) // SLICES
+    rows = read_event_files(spark, path, schema, max(1, files), "parquet")
     return as_events(rows.withColumn("ts", F.col("ts").cast("timestamp")))
