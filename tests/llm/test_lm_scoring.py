@@ -106,3 +106,18 @@ def test_without_training_rows_and_empty(spark):
     assert {(r.doc_id, r.train_tokens, r.n_known, round(r.score / math.log10(2))) for r in made} == {(2, 0, 0, -24), (3, 0, 0, -8)}
     none = spark.createDataFrame([], "doc_id long, text string, held_out boolean")
     assert lm_scoring.score_texts(none).collect() == []
+
+
+def test_ordered_keys_are_stored_as_differences(spark):
+    import os
+
+    from pyspark.sql import functions as F
+
+    from viewtide.llm import lm_scoring
+    from viewtide.session import materialise
+
+    keys = spark.range(0, 200_000, 1, 1).select(F.xxhash64("id").alias("key")).sortWithinPartitions("key")
+    plain, apart = materialise(keys, "plain", "zstd"), materialise(keys, "apart", "zstd", **lm_scoring.DELTAS)
+    size = [sum(os.path.getsize(f.removeprefix("file://")) for f in t.inputFiles()) for t in (plain, apart)]
+    assert size[1] < 0.95 * size[0]
+    assert apart.exceptAll(plain).count() == 0 and apart.count() == 200_000

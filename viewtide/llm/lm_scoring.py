@@ -40,6 +40,8 @@ from viewtide.session import materialise
 DEPTH, BLOCK_BYTES = 5, 16 << 20
 #: Bytes of text whose grams are held as arrays at once.
 CHUNK = 1 << 20
+#: Writer options by which keys in order are kept as differences.
+DELTAS = {"parquet__writer__version": "v2"}
 #: Counted keys that wait before they are added up.
 WAITING = 1 << 19
 
@@ -148,6 +150,7 @@ def gram_model(grams: DataFrame, depth: int = DEPTH) -> DataFrame:
             _subtree(depth), "gram long, bits array<double>, node long, log_pw double"
         ),
         "ctw",
+        "zstd",
     )
     pairs = (
         grams.filter("n > 0")
@@ -229,6 +232,7 @@ def score_texts(docs: DataFrame, depth: int = DEPTH, block_bytes: int = BLOCK_BY
         ),
         "counts",
         "zstd",
+        **DELTAS,
     )
     # The texts' first shuffle is done with; they move once more, to be scored.
     drop_shuffles(spark)
@@ -240,6 +244,8 @@ def score_texts(docs: DataFrame, depth: int = DEPTH, block_bytes: int = BLOCK_BY
         .select("block", "key", F.sum("n").over(of_word).alias("c"), F.min("block").over(of_word).alias("first"))
         .select("block", "key", "c", F.expr("block = first").alias("first")),
         "words",
+        "zstd",
+        **DELTAS,
     )
     drop_shuffles(spark)
     # The end token counts once for each training text, and is one of the distinct tokens.
