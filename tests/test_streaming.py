@@ -298,6 +298,18 @@ def test_one_failure_stops_all_queries(spark, folder, settings):
     spark.streams.resetTerminated()
 
 
+def test_an_earlier_failure_does_not_stop_other_queries(spark, folder, settings):
+    def fail(batch, batch_id):
+        raise RuntimeError("target is down")
+
+    events = read_event_files(spark, str(folder))
+    steady = to_files(events, scratch_path(spark, "out"), StreamSettings(scratch_path(spark, "checkpoint"), None, 2))
+    with pytest.raises(Exception, match="target is down"):
+        finish(to_batches(events, {"t": fail}, settings, mode="append"))
+    finish_all(spark, [steady])
+    assert steady.exception() is None
+
+
 def test_live_windows_by_ids_equal_the_batch(spark, folder, movies, users, settings, rows):
     """Counted by ids, joined afterwards, and kept by changed hours."""
     items = movies.withColumns({"imdb_rating": F.when(F.col("movie_id") != "m2", 7.5), "is_original": F.lit(True)})
