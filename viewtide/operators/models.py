@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from viewtide.operators.features import RFM
-from viewtide.session import materialise, shared_dir
+from viewtide.session import discard, freed_shuffles, materialise, release, scratch_path, shared_dir
 
 CHURN_NUMBERS = (
     "sessions", "watch_minutes", "avg_progress", "completed_sessions", "days_since_last",
@@ -154,21 +154,35 @@ class RatingModel:
     items: DataFrame
     mean: float
 
-    def _numbered(self, pairs: DataFrame) -> DataFrame:
-        return pairs.join(self.users, "user_id", "left").join(self.items, "movie_id", "left")
+    def _of(self, side: str) -> DataFrame:
+        """The factors of the users or items, under their own ids; NULL where they have none."""
+        named, number, found = {
+            "user": (self.users, "__user", self.factors.userFactors),
+            "item": (self.items, "__item", self.factors.itemFactors),
+        }[side]
+        found = found.select(F.col("id").alias(number), F.col("features").alias(f"__of_{side}"))
+        return named.join(found, number, "left").drop(number)
 
 
 def rating_model(ratings: DataFrame, rank: int = 10, iterations: int = 10, reg: float = 0.1) -> RatingModel:
     """Matrix factorisation of ``user_id``, ``movie_id``, ``user_rating``.
 
     Ids are of any type that can be sorted. What is factorised is the distance from the mean
-    rating. Long lineages are cut in the shared checkpoint folder.
+    rating. Long lineages are cut in the shared checkpoint folder, and every step's shuffle files
+    go before the next: an iteration's exchanges of factors are removed at its checkpoint, and
+    the factors are read back from a table.
     """
-    shared_dir(ratings.sparkSession)
+    spark = ratings.sparkSession
+    shared_dir(spark)
     rated = ratings.filter("user_rating IS NOT NULL AND user_id IS NOT NULL AND movie_id IS NOT NULL")
-    users = materialise(dense_ids(rated, "user_id", "__user"), "users")
-    items = materialise(dense_ids(rated, "movie_id", "__item"), "items")
-    mean = rated.agg(F.avg("user_rating")).first()[0] or 0.0
+    table, stored = scratch_path(spark, "rated"), scratch_path(spark, "factors")
+    with freed_shuffles(spark):
+        users = materialise(dense_ids(rated, "user_id", "__user"), "users")
+        items = materialise(dense_ids(rated, "movie_id", "__item"), "items")
+        mean = rated.agg(F.avg("user_rating")).first()[0] or 0.0
+        numbered = rated.join(users, "user_id").join(items, "movie_id")
+        numbered = numbered.select("__user", "__item", (F.col("user_rating") - mean).alias("__over"))
+        numbered.write.parquet(table)
     als = ALS(
         userCol="__user",
         itemCol="__item",
@@ -176,26 +190,27 @@ def rating_model(ratings: DataFrame, rank: int = 10, iterations: int = 10, reg:
         rank=rank,
         maxIter=iterations,
         regParam=reg,
-        checkpointInterval=5,
+        checkpointInterval=1,
         coldStartStrategy="nan",
         seed=42,
     )
-    numbered = rated.join(users, "user_id").join(items, "movie_id")
-    factors = als.fit(numbered.select("__user", "__item", (F.col("user_rating") - mean).alias("__over")))
-    return RatingModel(factors, users, items, mean)
+    als.fit(spark.read.schema(numbered.schema).parquet(table)).save(stored)
+    discard(spark, table)
+    release(spark)
+    return RatingModel(ALSModel.load(stored), users, items, mean)
 
 
 def predicted_ratings(model: RatingModel, pairs: DataFrame) -> DataFrame:
     """All given pairs with a prediction; NULL for unseen users or items.
 
-    Unseen ids have a number without factors: known and unknown pairs go through the same
-    joins, once.
+    Ids meet their factors first, so that the pairs, known and unknown, go through two joins.
     """
-    columns = pairs.columns
-    numbers = {name: F.coalesce(name, F.lit(-1)) for name in ("__user", "__item")}
-    found = model.factors.transform(model._numbered(pairs).withColumns(numbers))
-    over = F.when(~F.isnan("prediction"), F.col("prediction").cast("double") + model.mean)
-    return found.select(*columns, over.alias("predicted_rating"))
+    found = pairs.join(model._of("user"), "user_id", "left").join(model._of("item"), "movie_id", "left")
+    # The sum of products in single precision and in order, as the factorisation's own prediction.
+    products = [F.get("__of_user", k) * F.get("__of_item", k) for k in range(model.factors.rank)]
+    prediction = sum(products, F.lit(0.0).cast("float"))
+    over = F.when(~F.isnan(prediction), prediction.cast("double") + model.mean)
+    return found.select(*pairs.columns, over.alias("predicted_rating"))
 
 
 def recommendations(model: RatingModel, n: int = 10) -> DataFrame:

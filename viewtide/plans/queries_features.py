@@ -11,7 +11,7 @@ from viewtide.plans import domain
 from viewtide.plans.catalog import query
 from viewtide.plans.oracle import rounded
 from viewtide.plans.queries_batch import rounding
-from viewtide.session import materialise
+from viewtide.session import freed_shuffles, materialise
 
 
 def rfm(spark, sf_dir):
@@ -209,7 +209,8 @@ _HELD_OUT = "CAST(substr(user_id, 2) AS BIGINT) + CAST(substr(movie_id, 2) AS BI
 
 def _rated(spark, sf_dir):
     """All ratings, with text ids, and a model of four in five."""
-    ratings = materialise(review_ratings(domain.tastes(spark, sf_dir)), "ratings")
+    with freed_shuffles(spark):
+        ratings = materialise(review_ratings(domain.tastes(spark, sf_dir)), "ratings")
     ratings = ratings.withColumn("held_out", F.expr(_HELD_OUT.replace("VARCHAR", "STRING")) % 5 == 0)
     return ratings, models.rating_model(ratings.filter("NOT held_out"))
 
@@ -227,7 +228,8 @@ def predicted_ratings(spark, sf_dir):
     """Every pair stays, with a prediction where user and item are known; on held-out pairs the
     error is less than the mean's. ``rating_predictions`` has the ratings themselves."""
     ratings, model = _rated(spark, sf_dir)
-    found = materialise(models.predicted_ratings(model, ratings), "predicted")
+    with freed_shuffles(spark):
+        found = materialise(models.predicted_ratings(model, ratings), "predicted")
     own, constant = models.rating_errors(found.filter("held_out"), model.mean)
     checks = [
         F.col("predicted_rating").isNotNull().alias("predicted"),
