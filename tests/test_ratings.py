@@ -1,11 +1,14 @@
-"""Ratings: what a factorisation leaves on the disks, and its predictions."""
+"""Ratings: what a factorisation leaves on the disks, its predictions, and lists of the best items."""
 
 import random
 import time
 
+import numpy as np
+import pytest
+from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import functions as F
 
-from viewtide.operators import models
+from viewtide.operators import models, products
 from viewtide.session import FREED, freed_shuffles, materialise, release
 
 PAIR = "user_id string, movie_id string"
@@ -62,3 +65,76 @@ def test_predictions_are_those_of_the_factorisation(spark):
     pairs = ratings.select("user_id", "movie_id").union(spark.createDataFrame(odd, PAIR))
     found = models.predicted_ratings(model, pairs).collect()
     assert len(found) == len(own) + 6 and all(r.predicted_rating == own.get((r.user_id, r.movie_id)) for r in found)
+
+
+# -- greatest products ----------------------------------------------------------------------------
+
+
+def vectors(spark, values, parts):
+    schema = "id int, features array<float>"
+    return spark.createDataFrame([(k, [float(x) for x in v]) for k, v in enumerate(values)], schema).repartition(parts)
+
+
+def check_best(found, users, items, n):
+    products = users.astype(np.float64) @ items.astype(np.float64).T
+    assert sorted(r.user for r in found) == list(range(len(users)))
+    for r in found:
+        ids, scores = [x["item"] for x in r.best], [x["rating"] for x in r.best]
+        assert len(set(ids)) == len(ids) == min(n, len(items))
+        assert np.allclose(scores, products[r.user][ids], atol=1e-4)
+        # Of equal products the higher id comes first, and nothing greater is left out.
+        assert [(-s, -k) for s, k in zip(scores, ids)] == sorted((-s, -k) for s, k in zip(scores, ids))
+        assert np.allclose(scores, np.sort(products[r.user])[::-1][: len(ids)], atol=1e-4)
+
+
+@pytest.mark.parametrize("spread", [0.05, 3.0])
+def test_best_items_are_those_of_all_pairs(spark, spread):
+    """Users in a few directions and users in all of them; some vectors are zero."""
+    rng = np.random.default_rng(5)
+    middle = rng.normal(size=(4, 6))
+    users = (middle[rng.integers(4, size=500)] + spread * rng.normal(size=(500, 6))).astype(np.float32)
+    items = rng.normal(size=(700, 6)).astype(np.float32)
+    users[:3], items[:3] = 0, 0
+    found = products.best_items(vectors(spark, users, 3), vectors(spark, items, 4), 6, 5).collect()
+    check_best(found, users, items, 5)
+
+
+def test_fewer_items_than_wanted_and_equal_ones(spark):
+    users, items = np.float32([[1, 0], [0, 0], [-1, 2]]), np.float32([[1, 1], [2, 0], [1, 1], [2, 0]])
+    for n in (2, 9):
+        found = products.best_items(vectors(spark, users, 2), vectors(spark, items, 2), 2, n).collect()
+        check_best(found, users, items, n)
+    best = {r.user: [x["item"] for x in r.best] for r in found}
+    assert best == {0: [3, 1, 2, 0], 1: [3, 2, 1, 0], 2: [2, 0, 3, 1]}
+
+
+def test_far_pairs_are_not_multiplied(spark, monkeypatch):
+    def all_pairs(*_):
+        raise AssertionError("all pairs")
+
+    monkeypatch.setattr(ALSModel, "recommendForAllUsers", all_pairs)
+    ratings = rated(spark)
+    model = models.rating_model(ratings, rank=3, iterations=3)
+    best = models.recommendations(model, 4).collect()
+    assert len(best) == 160 and all(int(r.user_id[1:]) % 3 == int(r.movie_id[1:]) % 3 for r in best)
+    pairs = spark.createDataFrame([(r.user_id, r.movie_id) for r in best], PAIR)
+    own = {(r.user_id, r.movie_id): r.predicted_rating for r in models.predicted_ratings(model, pairs).collect()}
+    assert all(abs(own[r.user_id, r.movie_id] - r.predicted_rating) < 1e-5 for r in best)
+
+    rng = np.random.default_rng(6)
+    middle = np.eye(8, dtype=np.float32)
+    items = (middle[np.arange(4000) % 8] + rng.normal(scale=0.02, size=(4000, 8))).astype(np.float32)
+    users = (middle[:1] + rng.normal(scale=0.02, size=(100, 8))).astype(np.float32)
+    directions = users / np.linalg.norm(users, axis=1)[:, None]
+    centre = directions.mean(0)
+    least = np.sort(users @ items.T, 1)[:, -5] - np.float32(1e-4)
+    block = {
+        "users": users, "centres": centre, "least": least, "user_ids": np.arange(100, dtype=np.int32), "starts": np.int32([0, 100]),
+        "reach": np.float32([np.linalg.norm(directions - centre, axis=1).max() + 1e-4]), "floor": np.float32([(least / np.linalg.norm(users, axis=1)).min()]),
+    }
+    # What a block's users get does not change when the items of the other directions are left out.
+    held = {k: np.asarray(v, v.dtype).tobytes() for k, v in block.items()}
+    near = np.arange(4000) % 8 == 0
+    whole = [np.concatenate(x) for x in zip(*products._meet(held, np.arange(4000, dtype=np.int32), items, 8, 5))]
+    alone = [np.concatenate(x) for x in zip(*products._meet(held, np.arange(4000, dtype=np.int32)[near], items[near], 8, 5))]
+    assert all(np.allclose(a, b) for a, b in zip(whole, alone)) and len(whole[0]) == 500

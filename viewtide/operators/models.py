@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from viewtide.operators.features import RFM
+from viewtide.operators.products import best_items
 from viewtide.session import discard, freed_shuffles, materialise, release, scratch_path, shared_dir
 
 CHURN_NUMBERS = (
@@ -216,14 +217,16 @@ def predicted_ratings(model: RatingModel, pairs: DataFrame) -> DataFrame:
 def recommendations(model: RatingModel, n: int = 10) -> DataFrame:
     """The ``n`` items with the highest prediction for each known user, under their own ids.
 
-    Factors are multiplied block by block, and each block keeps a user's best. The lists are
+    Bounds by cells of similar users leave out most pairs, and no item of a list. The lists are
     written, so that nothing that reads them multiplies again.
     """
-    best = materialise(model.factors.recommendForAllUsers(n), "recommended")
-    ranked = best.select("__user", F.posexplode("recommendations").alias("__at", "__of")).select(
+    factors = model.factors
+    with freed_shuffles(factors.userFactors.sparkSession):
+        best = materialise(best_items(factors.userFactors, factors.itemFactors, factors.rank, n), "recommended")
+    ranked = best.select(F.col("user").alias("__user"), F.posexplode("best").alias("__at", "__of")).select(
         "__user",
         (F.col("__at") + 1).alias("position"),
-        F.col("__of.__item").alias("__item"),
+        F.col("__of.item").alias("__item"),
         (F.col("__of.rating").cast("double") + model.mean).alias("predicted_rating"),
     )
     named = ranked.join(model.users, "__user").join(model.items, "__item")
